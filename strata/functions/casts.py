@@ -3,8 +3,7 @@
 Spark 4 runs with ANSI on, where ``cast('abc' as int)`` raises; the original
 recipes ran with ANSI off, where a bad cast is NULL.  Every cast here is a
 ``try_cast``.  Numeric *text* is also guarded by a pattern, so that results do
-not depend on engine-specific leniency (``'1.7'`` as int, ``'1d'`` as double,
-``'Infinity'``): text that is not a plain number becomes NULL.
+not depend on engine-specific leniency (``'1.7'`` as int, ``'1d'`` as double): text that is not a plain number becomes NULL.
 """
 from __future__ import annotations
 
@@ -14,7 +13,8 @@ from pyspark.sql.types import NumericType, StringType
 from strata.functions.util import as_col
 
 INT_TEXT = r"^[+-]?[0-9]+$"
-DECIMAL_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# plain decimal / scientific text, or the special values both engines read
+DECIMAL_TEXT = r"^([+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity)|(?i:nan))$"
 
 
 def text_to_int(col) -> Column:
