@@ -19,7 +19,7 @@ from strata.functions import any_decrease, attained, classify_period, gap, mean_
 from strata.operators.dedup import latest_per_key
 from strata.operators.reshape import key_universe as _key_universe
 from strata.operators.reshape import pair_universe, reconcile, stack_by_name, unpivot_columns
-from strata.operators.star import distinct_projection, enrich, orphan_summary
+from strata.operators.star import bounded_broadcast, distinct_projection, enrich, orphan_summary
 from strata.plans.catalog.cleaning import STATUS_LABELS
 from strata.plans.catalog.registry import register
 from strata.functions import decode
@@ -34,10 +34,11 @@ TARGET_STEP = 1000.0
 
 
 def order_facts(t: TableSet) -> DataFrame:
-    """(ref_year, nationkey, regionkey, priority_label, cents, n) pre-aggregated.
+    """(o_custkey, ref_year, priority_label, cents, n, nationkey, regionkey).
 
     Orders are summed per (customer, year, priority) *before* the join to
-    customer, so the join shuffles one row per group instead of one per order.
+    customer (map-side partial aggregation first, so even a customer holding a
+    third of all orders reaches the join as a handful of rows).
     """
     per_cust = (t.orders
                 .select("o_custkey", F.year("o_orderdate").alias("ref_year"),
@@ -46,46 +47,52 @@ def order_facts(t: TableSet) -> DataFrame:
                 .agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n")))
     cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nationkey"))
     nation = t.nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_regionkey").alias("regionkey"))
-    return per_cust.join(cust, "o_custkey").join(enrich_side(nation), "nationkey", "left")
+    return per_cust.join(cust, "o_custkey").join(bounded_broadcast(nation, 100_000), "nationkey", "left")
 
 
-def enrich_side(dim: DataFrame) -> DataFrame:
-    from strata.operators.star import bounded_broadcast
-    return bounded_broadcast(dim, 100_000)
+def level_totals(t: TableSet) -> DataFrame:
+    """Cent totals and order counts of all three levels in ONE aggregation.
 
-
-def _base(f: DataFrame, level: str, place, label) -> DataFrame:
-    keys = ["ref_year"] + ([place] if place else []) + (["priority_label"] if label is None else [])
-    g = f.groupBy(*keys).agg(F.sum("cents").alias("s"), F.sum("n").alias("c"))
+    ``groupingSets`` expands each fact row once per level inside the map stage
+    and aggregates all levels with a single shuffle:
+    (level, place_id, priority_label, ref_year, s, c).
+    """
+    g = order_facts(t).groupingSets(
+        [["ref_year"], ["ref_year", "regionkey", "priority_label"], ["ref_year", "nationkey", "priority_label"]],
+        "ref_year", "regionkey", "nationkey", "priority_label",
+    ).agg(F.sum("cents").alias("s"), F.sum("n").alias("c"),
+          F.grouping("regionkey").alias("g_region"), F.grouping("nationkey").alias("g_nation"))
+    world = (F.col("g_region") == 1) & (F.col("g_nation") == 1)
+    region = F.col("g_nation") == 1
     return g.select(
-        F.lit(level).alias("level"),
-        (F.col(place).cast("string") if place else F.lit(None).cast("string")).alias("place_id"),
-        (F.col("priority_label") if label is None else F.lit(label)).alias("priority_label"),
-        "ref_year",
-        mean_of_cents("s", "c").alias("base"),
+        F.when(world, F.lit("world")).when(region, F.lit("region")).otherwise(F.lit("nation")).alias("level"),
+        F.when(world, F.lit(None).cast("string")).when(region, F.col("regionkey").cast("string"))
+         .otherwise(F.col("nationkey").cast("string")).alias("place_id"),
+        F.when(world, F.lit(ALL_LABEL)).otherwise(F.col("priority_label")).alias("priority_label"),
+        "ref_year", "s", "c",
     )
 
 
-def wide_targets(t: TableSet) -> list[DataFrame]:
+LEVELS = ("world", "region", "nation")
+
+
+def wide_targets(totals: DataFrame) -> list[DataFrame]:
     """One wide table per level: ``target_1995 .. target_2001`` (NULL when y <= ref_year)."""
-    f = order_facts(t)
-    out = []
-    for level, place, label in (("world", None, ALL_LABEL), ("region", "regionkey", None),
-                                ("nation", "nationkey", None)):
-        b = _base(f, level, place, label)
-        out.append(b.select(
-            "level", "place_id", "priority_label", "ref_year",
-            *[F.when(F.lit(y) > F.col("ref_year"),
-                     F.col("base") + F.lit(TARGET_STEP) * (F.lit(y) - F.col("ref_year"))).alias(f"target_{y}")
-              for y in YEARS]))
-    return out
-
-
-def long_targets(t: TableSet) -> DataFrame:
-    """R1 per level, then U3 (union by name)."""
+    base = totals.select("level", "place_id", "priority_label", "ref_year", mean_of_cents("s", "c").alias("base"))
+    wide = base.select(
+        "level", "place_id", "priority_label", "ref_year",
+        *[F.when(F.lit(y) > F.col("ref_year"),
+                 F.col("base") + F.lit(TARGET_STEP) * (F.lit(y) - F.col("ref_year"))).alias(f"target_{y}")
+          for y in YEARS])
+    return [wide.filter(F.col("level") == lv) for lv in LEVELS]
+
+
+def long_targets(totals: DataFrame) -> DataFrame:
+    """R1 per level, then U3 (union by name).  The levels share one aggregation
+    (the same subtree, so its shuffle is reused, not recomputed)."""
     ids = ["level", "place_id", "priority_label", "ref_year"]
     return stack_by_name([unpivot_columns(w, ids, {y: f"target_{y}" for y in YEARS}, "target_year", "target_value")
-                          for w in wide_targets(t)])
+                          for w in wide_targets(totals)])
 
 
 def priority_dimension(t: TableSet) -> DataFrame:
@@ -95,9 +102,14 @@ def priority_dimension(t: TableSet) -> DataFrame:
     return pair_universe([o], ["priority_code", "priority_label"], not_null="priority_code")
 
 
-def labelled_targets(t: TableSet) -> DataFrame:
-    """Long targets joined to the dimension on the *label*; unmatched kept."""
-    return enrich(long_targets(t), priority_dimension(t), "priority_label", "left", max_dim_rows=100_000)
+def labelled_targets(t: TableSet, totals: DataFrame | None = None) -> DataFrame:
+    """Long targets joined to the dimension on the *label*; unmatched kept.
+
+    The dimension is derived (a distinct over orders), so its size is left to
+    AQE's runtime check rather than a pre-count, which would cost a full pass.
+    """
+    totals = totals if totals is not None else level_totals(t)
+    return enrich(long_targets(totals), priority_dimension(t), "priority_label", "left", max_dim_rows=None)
 
 
 _FACTS_SQL = """
@@ -132,7 +144,8 @@ SELECT level, place_id, priority_label, ref_year, target_year, target_value FROM
 """)
 def unpivot_measures(spark, sf_dir):
     """R1 + U3: wide yearly targets of three levels -> one long table, NULLs dropped."""
-    return long_targets(TableSet(spark, sf_dir))
+    t = TableSet(spark, sf_dir)
+    return long_targets(level_totals(t))
 
 
 @register("label_join", "WITH " + _FACTS_SQL + """
@@ -210,19 +223,23 @@ def latest_per_key_query(spark, sf_dir):
 
 
 def results_shape(t: TableSet) -> DataFrame:
-    """G9 on TPC-H: indicator vs latest target for the year and for the final year."""
-    f = order_facts(t)
-    indicator = (f.groupBy("ref_year", "nationkey", "priority_label")
-                  .agg(F.sum("cents").alias("s"), F.sum("n").alias("n_orders"))
-                  .select(F.col("ref_year").alias("year"), F.col("nationkey").cast("string").alias("place_id"),
-                          F.substring("priority_label", 1, 1).alias("priority_code"),
-                          mean_of_cents("s", "n_orders").alias("actual"), "n_orders"))
-    nation_dim = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
+    """G9 on TPC-H: indicator vs latest target for the year and for the final year.
+
+    The indicator is the nation level of the same one-pass ``level_totals``
+    that feeds the targets, so orders are scanned and shuffled once.
+    """
+    totals = level_totals(t)
+    indicator = (totals.filter(F.col("level") == "nation")
+                 .select(F.col("ref_year").alias("year"), "place_id",
+                         F.substring("priority_label", 1, 1).alias("priority_code"),
+                         mean_of_cents("s", "c").alias("actual"), F.col("c").alias("n_orders")))
+    nation_dim = t.nation.join(bounded_broadcast(t.region, 100_000), F.col("n_regionkey") == F.col("r_regionkey"),
+                               "left").select(
         F.col("n_nationkey").cast("string").alias("place_id"),
         F.col("n_name").alias("nation_name"), F.col("r_name").alias("region_name"))
     # Latest reference year per (level, place, code, target year), nation level only
     latest = latest_per_key(
-        labelled_targets(t).filter(F.col("level") == "nation"),
+        labelled_targets(t, totals).filter(F.col("level") == "nation"),
         ["level", "place_id", "priority_code", "target_year"], "ref_year")
     # both slices come from the same latest set (one window computation, reused)
     for_year = latest.select("place_id", "priority_code", F.col("target_year").alias("year"),
@@ -230,7 +247,7 @@ def results_shape(t: TableSet) -> DataFrame:
     final = latest.filter(F.col("target_year") == FINAL_YEAR).select(   # W3
         "place_id", "priority_code", F.col("target_value").alias("target_final"))
     joined = (enrich(indicator, nation_dim, "place_id", max_dim_rows=100_000)
-              .join(enrich_side(priority_dimension(t)), "priority_code", "left")
+              .join(priority_dimension(t), "priority_code", "left")
               .join(for_year, ["place_id", "priority_code", "year"], "left")
               .join(final, ["place_id", "priority_code"], "left"))
     return joined.select(
