@@ -57,7 +57,15 @@ def reconcile(a: DataFrame, b: DataFrame, side_col: str = "side", keep_duplicate
     ``EXCEPT ALL``.  Columns are matched by name (``b`` is re-ordered to ``a``).
     """
     b = b.select(*a.columns)
-    diff = (lambda x, y: x.exceptAll(y)) if keep_duplicates else (lambda x, y: x.subtract(y))
+    if keep_duplicates:
+        diff = lambda x, y: x.exceptAll(y)
+    else:
+        # de-duplicate each side first: the distinct runs with map-side partial
+        # aggregation, so a row repeated millions of times reaches the anti-join
+        # once instead of landing in one join task; the anti-join then reuses
+        # the distinct's hash partitioning (no extra shuffle)
+        a, b = a.distinct(), b.distinct()
+        diff = lambda x, y: x.subtract(y)
     only_a = diff(a, b).select(F.lit("only_in_a").alias(side_col), "*")
     only_b = diff(b, a).select(F.lit("only_in_b").alias(side_col), "*")
     return only_a.unionByName(only_b)
