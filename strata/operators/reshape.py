@@ -84,13 +84,16 @@ def schema_diff(a: DataFrame, b: DataFrame) -> dict:
 
 def reconcile_summary(a: DataFrame, b: DataFrame) -> DataFrame:
     """U4 counts in long form ``(metric, value)``: rows per side and distinct rows
-    only on each side.  Each count is one aggregation; the four one-row results
-    are stacked with a union."""
+    only on each side.  Three aggregations (one per input, one over the diff),
+    each a single-row result, stacked with a union."""
+    def long(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
+        return df.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+                                            for m in metrics])))
     diff = reconcile(a, b)
-    parts = [
-        a.agg(F.lit("rows_a").alias("metric"), F.count(F.lit(1)).alias("value")),
-        b.agg(F.lit("rows_b").alias("metric"), F.count(F.lit(1)).alias("value")),
-        diff.agg(F.lit("only_in_a").alias("metric"), F.count_if(F.col("side") == "only_in_a").alias("value")),
-        diff.agg(F.lit("only_in_b").alias("metric"), F.count_if(F.col("side") == "only_in_b").alias("value")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    sides = diff.agg(F.count_if(F.col("side") == "only_in_a").alias("only_in_a"),
+                     F.count_if(F.col("side") == "only_in_b").alias("only_in_b"))
+    return stack_by_name([
+        long(a.agg(F.count(F.lit(1)).alias("rows_a")), ["rows_a"]),
+        long(b.agg(F.count(F.lit(1)).alias("rows_b")), ["rows_b"]),
+        long(sides, ["only_in_a", "only_in_b"]),
+    ])

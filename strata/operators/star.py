@@ -51,9 +51,14 @@ def orphans(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
 
 def orphan_summary(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
                    parent_keys: Sequence[str] | None = None) -> DataFrame:
-    """J6 as one row: orphan rows and distinct orphan keys."""
-    o = orphans(child, parent, child_keys, parent_keys)
-    per_key = o.groupBy(*child_keys).agg(F.count(F.lit(1)).alias("__n"))
+    """J6 as one row: orphan rows and distinct orphan keys.
+
+    The child is counted per key *before* the anti-join (map-side partial
+    aggregation), so a key holding a third of the child rows reaches the join
+    as one row per map task.
+    """
+    per_child_key = child.groupBy(*child_keys).agg(F.count(F.lit(1)).alias("__n"))
+    per_key = orphans(per_child_key, parent, child_keys, parent_keys)
     return per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
         F.count(F.lit(1)).alias("orphan_keys"),

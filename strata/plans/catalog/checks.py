@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from strata.functions import decode, decode_flags, filled_count, normalize_label
 from strata.operators import quality as Q
 from strata.operators.dedup import latest_per_key
-from strata.operators.profile import by_frequency, value_profile
+from strata.operators.profile import by_frequency, preview, value_profile
 from strata.plans.catalog.cleaning import KNOWN_SEGMENTS, RETURN_FLAG_LABELS, SEGMENT_VARIANTS
 from strata.plans.catalog.registry import register
 from strata.sources import TableSet
@@ -307,3 +307,20 @@ def nulls_by_year(spark, sf_dir):
         F.when(k % 17 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("o_custkey"),
     )
     return Q.nulls_per_group(d, ["order_year"], ["o_totalprice", "o_orderpriority", "o_custkey"])
+
+
+@register("profile_preview", """
+SELECT column_name, value, count(*) AS n FROM (
+  SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value FROM orders
+  UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders
+  UNION ALL SELECT 'order_year', CAST(year(o_orderdate) AS VARCHAR) FROM orders) t
+GROUP BY column_name, value
+ORDER BY n DESC, column_name ASC, value ASC NULLS FIRST
+LIMIT 10
+""")
+def profile_preview(spark, sf_dir):
+    """O3 + O1: the ten most frequent values (a bounded preview; ties broken by name, value)."""
+    o = TableSet(spark, sf_dir).orders.select(
+        "o_orderstatus", "o_orderpriority", F.year("o_orderdate").cast("string").alias("order_year"))
+    prof = value_profile(o, ["o_orderstatus", "o_orderpriority", "order_year"])
+    return preview(prof, 10, [F.col("n").desc(), F.col("column_name").asc(), F.col("value").asc_nulls_first()])

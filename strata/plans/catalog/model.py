@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame, functions as F
 from strata.functions import any_decrease, attained, classify_period, gap, mean_of_cents, reverse_gap, to_cents
 from strata.operators.dedup import latest_per_key
 from strata.operators.reshape import key_universe as _key_universe
-from strata.operators.reshape import pair_universe, reconcile, stack_by_name, unpivot_columns
+from strata.operators.reshape import pair_universe, reconcile, reconcile_summary, stack_by_name, unpivot_columns
 from strata.operators.star import bounded_broadcast, distinct_projection, enrich, orphan_summary
 from strata.plans.catalog.cleaning import STATUS_LABELS
 from strata.plans.catalog.registry import register
 from strata.functions import decode
 from strata.session import shared_path
-from strata.sources import TableSet, clustered, years_between
+from strata.sources import TableSet, years_between
 
 # --- Fixed values: horizon of the wide target layout ---------------------------
 YEARS = list(range(1995, 2002))       # seven target years, like 2024..2030
@@ -349,10 +349,26 @@ SELECT 'only_in_b' AS side, * FROM (SELECT * FROM b EXCEPT SELECT * FROM orders)
 def table_reconcile(spark, sf_dir):
     """U4: EXCEPT DISTINCT both ways between a table and a changed copy."""
     a = TableSet(spark, sf_dir).orders
-    b = (a.filter(~((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")))
-          .withColumn("o_totalprice", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") + 1.0)
-                      .otherwise(F.col("o_totalprice"))))
-    return reconcile(a, b)
+    return reconcile(a, changed_orders(a))
+
+
+def changed_orders(a: DataFrame) -> DataFrame:
+    """A changed copy: low-priority pending orders removed, urgent totals +1."""
+    return (a.filter(~((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")))
+             .withColumn("o_totalprice", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") + 1.0)
+                         .otherwise(F.col("o_totalprice"))))
+
+
+@register("reconcile_counts", "WITH " + _CHANGED_ORDERS_SQL + """
+SELECT 'rows_a' AS metric, count(*) AS value FROM orders
+UNION ALL SELECT 'rows_b', count(*) FROM b
+UNION ALL SELECT 'only_in_a', count(*) FROM (SELECT * FROM orders EXCEPT SELECT * FROM b) x
+UNION ALL SELECT 'only_in_b', count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM orders) y
+""")
+def reconcile_counts(spark, sf_dir):
+    """U4 counts: rows per side and distinct rows found on one side only."""
+    a = TableSet(spark, sf_dir).orders
+    return reconcile_summary(a, changed_orders(a))
 
 
 @register("orphan_keys", """
