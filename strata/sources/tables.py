@@ -60,11 +60,15 @@ class TableSet:
     def __init__(self, spark: SparkSession, base: str):
         self._spark = spark
         self._base = base.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
+        """The table as a lazy DataFrame; listed and resolved once per TableSet."""
         if name.startswith("_"):
             raise AttributeError(name)
-        return read_table(self._spark, f"{self._base}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = read_table(self._spark, f"{self._base}/{name}.parquet")
+        return self._frames[name]
 
     def path(self, name: str) -> str:
         return f"{self._base}/{name}.parquet"
