@@ -30,6 +30,7 @@ from strata.functions.domains import (
 )
 from strata.operators import quality as Q
 from strata.operators.dedup import keep_one_per_key
+from strata.operators.profile import by_frequency, value_profile
 from strata.sources import Layers, read_layer, write_layer
 
 AUDIT = ["_ingestao_timestamp", "_fonte"]
@@ -52,6 +53,7 @@ class SilverSpec:
     grouped: Callable[[DataFrame], dict[str, DataFrame]] = lambda df: {}
     cluster_by: list[str] = field(default_factory=list)
     check_schema: bool = True
+    profile_columns: list[str] = field(default_factory=list)  # Q25 on the raw contract columns
 
 
 def _c(name: str) -> Column:
@@ -102,14 +104,23 @@ def promote(spark: SparkSession, spec: SilverSpec, layers: Layers, at: Column |
     Q.enforce(pre)                                # Q26: stop before the write
     loc = write_layer(silver, layers, "silver", spec.table, clustered_fields=spec.cluster_by or None)
     written = read_layer(spark, layers, "silver", spec.table)
+    grouped = spec.grouped(written)
+    if spec.profile_columns:
+        grouped["domain_profile"] = domain_profile(bronze.select(*spec.columns), spec.profile_columns)
     return Promotion(
         table=spec.table, location=loc, pre=pre, post=post_report(spec, written),
         duplicates_before=Q.duplicate_summary(_drop_raw(cleaned), spec.keys),
         duplicates_after=Q.duplicate_summary(written, spec.keys),
-        grouped=spec.grouped(written),
+        grouped=grouped,
     )
 
 
+def domain_profile(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Q25 + O1: value frequencies of raw columns, most frequent first, then value
+    (NULLs first) — all columns in one job."""
+    return by_frequency(value_profile(raw, columns, "count"), "count", ["column_name", "value"])
+
+
 def _cast_all(df: DataFrame, names: Sequence[str], to: str) -> dict[str, Column]:
     return {c: safe_cast(df, c, to) for c in names}
 
@@ -183,7 +194,8 @@ def student_grouped(df: DataFrame) -> dict[str, DataFrame]:
 
 STUDENTS = SilverSpec("aluno", "alunos", STUDENT_COLUMNS, ["ano", "id_aluno"], clean_students,
                       student_pre_checks, student_post_checks, student_grouped,
-                      ["ano", "id_municipio", "id_escola", "rede_id"])
+                      ["ano", "id_municipio", "id_escola", "rede_id"],
+                      profile_columns=["caderno", "serie", "rede", *STUDENT_FLAGS])
 
 
 # --- B2 municipal indicators ---------------------------------------------------
@@ -264,7 +276,8 @@ def state_grouped(df: DataFrame) -> dict[str, DataFrame]:
 
 
 STATE = SilverSpec("uf", "uf", STATE_COLUMNS, ["ano", "sigla_uf", "serie", "rede_id"], clean_state,
-                   lambda: [], state_post_checks, state_grouped, ["ano", "sigla_uf", "rede_id"])
+                   lambda: [], state_post_checks, state_grouped, ["ano", "sigla_uf", "rede_id"],
+                   profile_columns=["ano", "sigla_uf", "serie", "rede"])
 
 
 # --- B4-B6 literacy targets ------------------------------------------------------
@@ -298,7 +311,7 @@ COUNTRY_TARGETS = SilverSpec(
     lambda df: _clean_targets(df, None), lambda: [],
     lambda: _target_checks(COUNTRY_TARGET_COLUMNS, only_filled=False),
     lambda df: {"labels_other_than_public": Q.unknown_labels(df, "rede", [PUBLIC_LABEL], "count")},
-    ["ano", "rede"])
+    ["ano", "rede"], profile_columns=["rede"])
 
 STATE_TARGET_COLUMNS = ["ano", "sigla_uf", "rede", *PERCENT_COLUMNS, *AUDIT]
 STATE_TARGETS = SilverSpec(
@@ -311,7 +324,7 @@ STATE_TARGETS = SilverSpec(
         "targets_filled_by_year": Q.fill_distribution(df, ["ano"], TARGET_COLUMNS, "qtd_metas_preenchidas", "count"),
         "states_by_year": Q.distinct_per_group(df, ["ano"], "sigla_uf", "qtd_ufs"),
     },
-    ["ano", "sigla_uf", "rede"])
+    ["ano", "sigla_uf", "rede"], profile_columns=["ano", "sigla_uf", "rede"])
 
 MUNICIPALITY_TARGET_COLUMNS = ["ano", "id_municipio", "rede", "taxa_alfabetizacao", *TARGET_COLUMNS,
                                "nivel_alfabetizacao", "percentual_participacao", *AUDIT]
@@ -329,7 +342,7 @@ MUNICIPALITY_TARGETS = SilverSpec(
         "unknown_networks": Q.unknown_labels(df, "rede", KNOWN_NETWORK_LABELS, "count"),
         "target_nulls_by_year": Q.nulls_per_group(df, ["ano"], TARGET_COLUMNS, "nulos_"),
     },
-    ["ano", "id_municipio", "rede"])
+    ["ano", "id_municipio", "rede"], profile_columns=["ano", "rede", "nivel_alfabetizacao"])
 
 SILVER_SPECS = {s.table: s for s in (STUDENTS, MUNICIPALITY, STATE, COUNTRY_TARGETS, STATE_TARGETS,
                                      MUNICIPALITY_TARGETS)}

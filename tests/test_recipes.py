@@ -70,6 +70,10 @@ def test_student_reports(ran):
     fd = [tuple(r) for r in p.grouped["schools_in_many_municipalities"].collect()]
     assert fd == [(2023, "12345678", 3)]
     assert p.grouped["unmapped_networks"].count() == 0
+    prof = [tuple(r) for r in p.grouped["domain_profile"].collect()]
+    assert prof[0] == ("serie", "2", 10)                    # most frequent first
+    assert ("rede", None, 1) in prof and ("caderno", "43", 1) in prof
+    assert prof.index(("rede", None, 1)) < prof.index(("rede", "2", 1))   # NULL first among ties
 
 
 @pytest.mark.parametrize("bad", [
