@@ -121,3 +121,22 @@ def test_value_profile(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x")], "c1 string, c2 string")
     got = sorted(map(tuple, value_profile(df, ["c1", "c2"]).collect()), key=str)
     assert got == sorted([("c1", "a", 2), ("c1", "b", 1), ("c2", "x", 2), ("c2", None, 1)], key=str)
+
+
+def test_decode_join_never_multiplies_rows(spark):
+    from strata.functions import decode_join
+    fact = spark.createDataFrame([("1",), ("2",), ("9",), (None,)], "code string")
+    lookup = spark.createDataFrame([("1", "Federal"), ("1", "Federal (dup)"), ("2", "Estadual")], "c string, l string")
+    out = decode_join(fact, "code", lookup, "c", "l", "label")
+    rows = sorted((tuple(r) for r in out.collect()), key=str)
+    assert len(rows) == 4 and ("9", None) in rows and ("2", "Estadual") in rows
+
+
+def test_schema_diff_and_materialize(spark, scratch):
+    from strata.operators.reshape import schema_diff
+    from strata.sources import materialize
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([(1, 2.0)], "k bigint, w double")
+    assert schema_diff(a, b) == {"only_in_a": ["v"], "only_in_b": ["w"], "type_changed": ["k"]}
+    back = materialize(spark, a, f"{scratch}/mat")
+    assert [tuple(r) for r in back.collect()] == [(1, "x")]
