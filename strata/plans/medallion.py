@@ -74,3 +74,27 @@ def run_all(spark: SparkSession, layers: Layers, only: Iterable[str] | None = No
         else:
             out[step] = write_layer(_gold_step(spark, layers, name), layers, "gold", name)
     return out
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m strata.plans.medallion --root PATH [--directory PATH] [--only STEP ...]``"""
+    import argparse
+
+    from strata.session import build_session
+
+    parser = argparse.ArgumentParser(description="silver promotions and gold builds")
+    parser.add_argument("--root", required=True, help="folder holding the bronze/silver/gold layers")
+    parser.add_argument("--directory", help="location of the external municipality directory")
+    parser.add_argument("--only", nargs="+", help="'silver', 'gold' or step names such as silver_uf gold_dim_uf")
+    args = parser.parse_args(argv)
+    layers = Layers(root=args.root, external={DIRECTORY: args.directory} if args.directory else {})
+    spark = build_session(app_name="strata-medallion")
+    try:
+        for step, result in run_all(spark, layers, args.only).items():
+            print(step, result if isinstance(result, str) else result.location)
+    finally:
+        spark.stop()
+
+
+if __name__ == "__main__":
+    main()

@@ -1,4 +1,4 @@
-from strata.sources.bronze import stamp
+from strata.sources.bronze import ingest, stamp
 from strata.sources.ranges import year_range, years_between
 from strata.sources.sinks import clustered, materialize, write_layer, write_table
 from strata.sources.tables import Layers, TableSet, read_layer, read_table

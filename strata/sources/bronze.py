@@ -17,3 +17,15 @@ def stamp(df: DataFrame, source: str, at: datetime | str | None = None) -> DataF
     """
     ts = F.current_timestamp() if at is None else F.lit(str(at)).cast("timestamp")
     return df.select("*", ts.alias(INGESTED_AT), F.lit(source).alias(SOURCE))
+
+
+def ingest(spark, layers, source_location: str, table: str, source_name: str | None = None,
+           at: datetime | str | None = None, fmt: str = "parquet") -> str:
+    """S4 as a job: read a source table, stamp it, overwrite ``bronze.<table>``.
+
+    One scan and one write; nothing is transformed beyond the two audit columns.
+    """
+    from strata.sources.sinks import write_layer
+    from strata.sources.tables import read_table
+    src = read_table(spark, source_location, fmt)
+    return write_layer(stamp(src, source_name or source_location, at), layers, "bronze", table)

@@ -210,3 +210,16 @@ def test_bronze_stamp(spark):
     df = stamp(spark.createDataFrame([(1,)], "a int"), "src.table", at="2024-01-01 06:00:00")
     row = df.first()
     assert df.columns == ["a", "_ingestao_timestamp", "_fonte"] and row._fonte == "src.table"
+
+
+def test_ingest_stamps_and_overwrites(spark, tmp_path):
+    from strata.sources import ingest
+    src = str(tmp_path / "src")
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string").write.parquet(src)
+    lay = Layers(root=str(tmp_path))
+    loc = ingest(spark, lay, src, "dicionario", "ref.dicionario", at="2024-01-01 00:00:00")
+    back = spark.read.parquet(loc)
+    assert back.columns == ["id", "v", "_ingestao_timestamp", "_fonte"] and back.count() == 2
+    assert {r._fonte for r in back.collect()} == {"ref.dicionario"}
+    ingest(spark, lay, src, "dicionario")            # overwrite, not append
+    assert spark.read.parquet(loc).count() == 2
