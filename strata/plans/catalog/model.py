@@ -131,7 +131,7 @@ lt AS (
   SELECT level, place_id, priority_label, ref_year, CAST(y AS INTEGER) AS target_year,
          CAST((2 * s + c) // (2 * c) AS DOUBLE) / CAST(100 AS DOUBLE)
            + CAST(1000 AS DOUBLE) * (y - ref_year) AS target_value
-  FROM b, (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) yr(y)
+  FROM (SELECT *, unnest([1995, 1996, 1997, 1998, 1999, 2000, 2001]) AS y FROM b) yr
   WHERE y > ref_year),
 dp AS (
   SELECT DISTINCT substr(o_orderpriority, 1, 1) AS priority_code, o_orderpriority AS priority_label
