@@ -50,25 +50,37 @@ def stack_by_name(frames: Sequence[DataFrame], allow_missing: bool = False) -> D
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
 
 
+def _side_counts(a: DataFrame, b: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Every distinct row of ``a`` ∪ ``b`` with its multiplicity on each side.
+
+    One union and one aggregation on all columns: partial sums run map-side,
+    so a row repeated millions of times is shuffled once per map task — no
+    join, hence no join task holding every copy of a hot row.  NULLs compare
+    equal and NaN is normalised, exactly as in EXCEPT.
+    """
+    cols = a.columns
+    b = b.select(*cols)
+    tagged = (a.select(*cols, F.lit(1).alias("__in_a"), F.lit(0).alias("__in_b"))
+               .unionByName(b.select(*cols, F.lit(0).alias("__in_a"), F.lit(1).alias("__in_b"))))
+    counts = tagged.groupBy(*cols).agg(F.sum("__in_a").alias("__n_a"), F.sum("__in_b").alias("__n_b"))
+    return counts, cols
+
+
 def reconcile(a: DataFrame, b: DataFrame, side_col: str = "side", keep_duplicates: bool = False) -> DataFrame:
-    """U4: rows only in ``a`` and rows only in ``b``.
+    """U4: rows only in ``a`` and rows only in ``b`` (columns matched by name).
 
-    ``keep_duplicates=False`` is ``EXCEPT DISTINCT`` (``subtract``); True is
-    ``EXCEPT ALL``.  Columns are matched by name (``b`` is re-ordered to ``a``).
+    ``keep_duplicates=False`` is ``EXCEPT DISTINCT`` both ways; True is
+    ``EXCEPT ALL`` (``max(n_a - n_b, 0)`` copies of a row as ``only_in_a``, and
+    the converse).  Both directions come out of the same single aggregation.
     """
-    b = b.select(*a.columns)
-    if keep_duplicates:
-        diff = lambda x, y: x.exceptAll(y)
-    else:
-        # de-duplicate each side first: the distinct runs with map-side partial
-        # aggregation, so a row repeated millions of times reaches the anti-join
-        # once instead of landing in one join task; the anti-join then reuses
-        # the distinct's hash partitioning (no extra shuffle)
-        a, b = a.distinct(), b.distinct()
-        diff = lambda x, y: x.subtract(y)
-    only_a = diff(a, b).select(F.lit("only_in_a").alias(side_col), "*")
-    only_b = diff(b, a).select(F.lit("only_in_b").alias(side_col), "*")
-    return only_a.unionByName(only_b)
+    counts, cols = _side_counts(a, b)
+    n_a, n_b = F.col("__n_a"), F.col("__n_b")
+    side = F.when(n_a > n_b, F.lit("only_in_a")).otherwise(F.lit("only_in_b")).alias(side_col)
+    if not keep_duplicates:
+        return counts.filter((n_a > 0) != (n_b > 0)).select(side, *cols)
+    diff = counts.filter(n_a != n_b)
+    copies = F.explode(F.array_repeat(F.lit(1), F.abs(n_a - n_b).cast("int")))
+    return diff.select(side, *cols, copies.alias("__copy")).drop("__copy")
 
 
 def schema_diff(a: DataFrame, b: DataFrame) -> dict:
@@ -84,16 +96,15 @@ def schema_diff(a: DataFrame, b: DataFrame) -> dict:
 
 def reconcile_summary(a: DataFrame, b: DataFrame) -> DataFrame:
     """U4 counts in long form ``(metric, value)``: rows per side and distinct rows
-    only on each side.  Three aggregations (one per input, one over the diff),
-    each a single-row result, stacked with a union."""
-    def long(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
-        return df.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+    only on each side — all four from the one aggregation behind ``reconcile``."""
+    counts, _ = _side_counts(a, b)
+    n_a, n_b = F.col("__n_a"), F.col("__n_b")
+    totals = counts.agg(
+        F.coalesce(F.sum(n_a), F.lit(0)).cast("bigint").alias("rows_a"),
+        F.coalesce(F.sum(n_b), F.lit(0)).cast("bigint").alias("rows_b"),
+        F.count_if((n_a > 0) & (n_b == 0)).alias("only_in_a"),
+        F.count_if((n_b > 0) & (n_a == 0)).alias("only_in_b"),
+    )
+    metrics = ["rows_a", "rows_b", "only_in_a", "only_in_b"]
+    return totals.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
                                             for m in metrics])))
-    diff = reconcile(a, b)
-    sides = diff.agg(F.count_if(F.col("side") == "only_in_a").alias("only_in_a"),
-                     F.count_if(F.col("side") == "only_in_b").alias("only_in_b"))
-    return stack_by_name([
-        long(a.agg(F.count(F.lit(1)).alias("rows_a")), ["rows_a"]),
-        long(b.agg(F.count(F.lit(1)).alias("rows_b")), ["rows_b"]),
-        long(sides, ["only_in_a", "only_in_b"]),
-    ])

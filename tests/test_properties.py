@@ -66,3 +66,14 @@ def test_reconcile_is_set_difference(spark, left, right):
     expected = Counter([("only_in_a", *r) for r in set(left) - set(right)] +
                        [("only_in_b", *r) for r in set(right) - set(left)])
     assert got == expected
+
+
+@SETTINGS
+@given(left=rows_strategy, right=rows_strategy)
+def test_reconcile_all_is_multiset_difference(spark, left, right):
+    a, b = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    got = Counter(tuple(r) for r in reconcile(a, b, keep_duplicates=True).collect())
+    ca, cb = Counter(left), Counter(right)
+    expected = Counter({("only_in_a", *r): n for r, n in (ca - cb).items()})
+    expected.update({("only_in_b", *r): n for r, n in (cb - ca).items()})
+    assert got == expected
