@@ -53,13 +53,23 @@ def orphan_summary(child: DataFrame, parent: DataFrame, child_keys: Sequence[str
                    parent_keys: Sequence[str] | None = None) -> DataFrame:
     """J6 as one row: orphan rows and distinct orphan keys.
 
-    The child is counted per key *before* the anti-join (map-side partial
-    aggregation), so a key holding a third of the child rows reaches the join
-    as one row per map task.
+    No join: child and parent keys are tagged, stacked and counted per key in
+    one aggregation (map-side partial sums, so a key holding a third of the
+    child rows is shuffled once per map task).  Parent rows with a NULL key are
+    left out — NULL never equals anything — so child rows with a NULL key are
+    orphans, as with NOT EXISTS.
     """
-    per_child_key = child.groupBy(*child_keys).agg(F.count(F.lit(1)).alias("__n"))
-    per_key = orphans(per_child_key, parent, child_keys, parent_keys)
+    parent_keys = list(parent_keys or child_keys)
+    names = [f"__k{i}" for i in range(len(child_keys))]
+    c = child.select(*[F.col(k).alias(n) for k, n in zip(child_keys, names)],
+                     F.lit(1).alias("__child"), F.lit(0).alias("__parent"))
+    p = parent.select(*[F.col(k).alias(n) for k, n in zip(parent_keys, names)],
+                      F.lit(0).alias("__child"), F.lit(1).alias("__parent"))
+    for n in names:
+        p = p.filter(F.col(n).isNotNull())
+    per_key = c.unionByName(p).groupBy(*names).agg(F.sum("__child").alias("__nc"), F.sum("__parent").alias("__np"))
+    orphan = (F.col("__nc") > 0) & (F.col("__np") == 0)
     return per_key.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-        F.count(F.lit(1)).alias("orphan_keys"),
+        F.coalesce(F.sum(F.when(orphan, F.col("__nc"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+        F.count_if(orphan).alias("orphan_keys"),
     )

@@ -115,6 +115,10 @@ def test_star_helpers(spark):
     assert "BroadcastHint" not in big._jdf.queryExecution().analyzed().toString()
     o = orphan_summary(fact, dim, ["k"]).first()
     assert (o.orphan_rows, o.orphan_keys) == (1, 1)
+    nulls = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, v int")
+    dim_null = dim.union(spark.createDataFrame([(None, "none")], "k int, name string"))
+    o = orphan_summary(nulls, dim_null, ["k"]).first()
+    assert (o.orphan_rows, o.orphan_keys) == (2, 1)          # NULL child keys never match
 
 
 def test_value_profile(spark):
