@@ -10,8 +10,8 @@ printed number):
 3. ONE aggregation pass over the cleaned, pre-dedup rows: every pre-stage check
    and every gate -> report; ``enforce`` raises before anything is written
 4. deterministic dedup -> clustered overwrite of the silver table
-5. ONE aggregation pass over the written table for the post-stage checks, plus
-   the grouped reports (each one grouped job), all reading the written files
+5. the post-stage checks are observed during the write itself (no extra pass);
+   the grouped reports (each one grouped job) read the written files
 """
 from __future__ import annotations
 
@@ -31,7 +31,7 @@ from strata.functions.domains import (
 from strata.operators import quality as Q
 from strata.operators.dedup import keep_one_per_key
 from strata.operators.profile import by_frequency, value_profile
-from strata.sources import Layers, read_layer, write_layer
+from strata.sources import Layers, clustered, read_layer, write_layer
 
 AUDIT = ["_ingestao_timestamp", "_fonte"]
 SILVER_TS = "_silver_timestamp"
@@ -102,13 +102,17 @@ def promote(spark: SparkSession, spec: SilverSpec, layers: Layers, at: Column |
     pre_rows = pre.collect()                      # one row per check
     pre = spark.createDataFrame(pre_rows, pre.schema)
     Q.enforce(pre)                                # Q26: stop before the write
-    loc = write_layer(silver, layers, "silver", spec.table, clustered_fields=spec.cluster_by or None)
+    # post-stage checks ride on the write itself (Observation): no second pass.
+    # They sit above the range exchange, so the range sampler never feeds them.
+    laid_out = clustered(silver, spec.cluster_by) if spec.cluster_by else silver
+    observed, post = Q.observe_checks(laid_out, [Q.row_count(), *spec.post_checks()], "post")
+    loc = write_layer(observed, layers, "silver", spec.table)
     written = read_layer(spark, layers, "silver", spec.table)
     grouped = spec.grouped(written)
     if spec.profile_columns:
         grouped["domain_profile"] = domain_profile(bronze.select(*spec.columns), spec.profile_columns)
     return Promotion(
-        table=spec.table, location=loc, pre=pre, post=post_report(spec, written),
+        table=spec.table, location=loc, pre=pre, post=post(spark),
         duplicates_before=Q.duplicate_summary(_drop_raw(cleaned), spec.keys),
         duplicates_after=Q.duplicate_summary(written, spec.keys),
         grouped=grouped,

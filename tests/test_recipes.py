@@ -223,3 +223,13 @@ def test_ingest_stamps_and_overwrites(spark, tmp_path):
     assert {r._fonte for r in back.collect()} == {"ref.dicionario"}
     ingest(spark, lay, src, "dicionario")            # overwrite, not append
     assert spark.read.parquet(loc).count() == 2
+
+
+def test_observed_post_report_equals_a_separate_pass(spark, layers, ran):
+    from strata.operators import quality as Q
+    from strata.plans.silver import post_report
+    for table, spec in SILVER_SPECS.items():
+        written = read_layer(spark, layers, "silver", table)
+        separate = sorted(map(tuple, post_report(spec, written).collect()), key=str)
+        observed = sorted(map(tuple, ran[f"silver_{table}"].post.collect()), key=str)
+        assert observed == separate, table
