@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from strata.plans import gold
@@ -66,16 +67,30 @@ def resolve_steps(only: Iterable[str] | None) -> list[str]:
 def run_all(spark: SparkSession, layers: Layers, only: Iterable[str] | None = None,
             at: Column | None = None) -> dict[str, Promotion | str]:
     """Run the selected steps; returns silver promotion reports and gold locations."""
-    out: dict[str, Promotion | str] = {}
-    for step in resolve_steps(only):
+    out: dict[str, Promotion | str | DataFrame] = {}
+    steps = resolve_steps(only)
+    for step in steps:
         layer, name = step.split("_", 1)
         if layer == "silver":
             out[step] = promote(spark, SILVER_SPECS[name], layers, at)
         else:
             out[step] = write_layer(_gold_step(spark, layers, name), layers, "gold", name)
+    if any(s.startswith("gold_") for s in steps):
+        out["gold_integrity"] = integrity_report(spark, layers)
     return out
 
 
+def integrity_report(spark: SparkSession, layers: Layers) -> DataFrame:
+    """J6 over whatever gold tables exist: (relationship, orphan_rows, orphan_keys)."""
+    tables = {}
+    for name in GOLD_STEPS:
+        try:
+            tables[name] = read_layer(spark, layers, "gold", name)
+        except AnalysisException:      # a table not built yet is simply skipped
+            continue
+    return gold.gold_integrity(tables)
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m strata.plans.medallion --root PATH [--directory PATH] [--only STEP ...]``"""
     import argparse

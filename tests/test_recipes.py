@@ -233,3 +233,15 @@ def test_observed_post_report_equals_a_separate_pass(spark, layers, ran):
         separate = sorted(map(tuple, post_report(spec, written).collect()), key=str)
         observed = sorted(map(tuple, ran[f"silver_{table}"].post.collect()), key=str)
         assert observed == separate, table
+
+
+def test_gold_integrity(spark, layers, ran):
+    report = {r.relationship: (r.orphan_rows, r.orphan_keys) for r in ran["gold_integrity"].collect()}
+    assert len(report) == len(gold.RELATIONSHIPS)
+    assert all(v == (0, 0) for v in report.values()), report
+    g = lambda t: read_layer(spark, layers, "gold", t)
+    broken = {"fato_aluno": g("fato_aluno"),
+              "dim_municipio": g("dim_municipio").filter(F.col("id_municipio") != "0000012")}
+    r = gold.gold_integrity(broken).collect()
+    assert [(x.relationship, x.orphan_rows, x.orphan_keys) for x in r] == [
+        ("fato_aluno.id_municipio -> dim_municipio.id_municipio", 2, 1)]
