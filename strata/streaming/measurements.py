@@ -90,12 +90,61 @@ def start_latest_stream(source: DataFrame, keys: Sequence[str], order: Sequence[
     return writer.start()
 
 
+def _snapshot_root(sink_path: str) -> str:
+    return sink_path.rstrip("/") + "_snapshots"
+
+
+def _latest_snapshot(spark: SparkSession, sink_path: str) -> int | None:
+    """Greatest ``upto`` of a finished snapshot (a one-row aggregate, not data)."""
+    from pyspark.errors import AnalysisException
+    try:
+        snaps = spark.read.parquet(_snapshot_root(sink_path))
+    except AnalysisException:
+        return None
+    return snaps.agg(F.max("upto")).first()[0]
+
+
 def read_latest(spark: SparkSession, sink_path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """T4: the served view — latest row per key over every batch written so far."""
-    rows = spark.read.parquet(sink_path).drop("batch")
+    """T4: the served view — latest row per key over every batch written so far.
+
+    With a snapshot from ``compact_latest``, only the snapshot and the batches
+    after it are read (partition pruning on ``batch``).
+    """
+    rows = spark.read.parquet(sink_path)
+    upto = _latest_snapshot(spark, sink_path)
+    if upto is not None:
+        snap = spark.read.parquet(_snapshot_root(sink_path)).filter(F.col("upto") == upto).drop("upto")
+        rows = rows.filter(F.col("batch") > upto).drop("batch").unionByName(snap)
+    else:
+        rows = rows.drop("batch")
     return resolve_latest(rows, keys, order)
 
 
+def compact_latest(spark: SparkSession, sink_path: str, keys: Sequence[str], order: Sequence[str]) -> int | None:
+    """Fold finished batches into one snapshot (``<sink>_snapshots/upto=N``).
+
+    Safe while the stream runs: the newest batch folder may still be in flight
+    (or be replayed after a failure), so N is one below it — micro-batches
+    commit in order, so every batch below the newest is final.  Batches after N
+    stay visible to readers, who switch to the snapshot once its write has
+    committed.  Returns N, or None when there is nothing final to fold.
+    """
+    batches = spark.read.parquet(sink_path)
+    newest = batches.agg(F.max("batch")).first()[0]
+    if newest is None or newest < 1:
+        return None
+    upto = newest - 1
+    prior = _latest_snapshot(spark, sink_path)
+    if prior is not None and prior >= upto:
+        return prior
+    done = batches.filter(F.col("batch") <= upto).drop("batch")
+    if prior is not None:
+        snap = spark.read.parquet(_snapshot_root(sink_path)).filter(F.col("upto") == prior).drop("upto")
+        done = batches.filter((F.col("batch") > prior) & (F.col("batch") <= upto)).drop("batch").unionByName(snap)
+    resolve_latest(done, keys, order).write.mode("overwrite").parquet(f"{_snapshot_root(sink_path)}/upto={upto}")
+    return upto
+
+
 def enriched(latest: DataFrame, dim: DataFrame, on: str | Sequence[str],
              max_dim_rows: int | None = 1_000_000) -> DataFrame:
     """Left join to the dimension at read time; unknown ids keep NULL names."""
