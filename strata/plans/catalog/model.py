@@ -15,14 +15,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from strata.functions import any_decrease, attained, classify_period, gap, mean_of_cents, reverse_gap, to_cents
+from strata.functions import (
+    any_decrease, attained, classify_period, decode, gap, mean_of_cents, reverse_gap, to_cents,
+)
 from strata.operators.dedup import latest_per_key
 from strata.operators.reshape import key_universe as _key_universe
 from strata.operators.reshape import pair_universe, reconcile, reconcile_summary, stack_by_name, unpivot_columns
 from strata.operators.star import bounded_broadcast, distinct_projection, enrich, orphan_summary
 from strata.plans.catalog.cleaning import STATUS_LABELS
 from strata.plans.catalog.registry import register
-from strata.functions import decode
 from strata.session import shared_path
 from strata.sources import TableSet, years_between
 
@@ -88,8 +89,12 @@ def wide_targets(totals: DataFrame) -> list[DataFrame]:
 
 
 def long_targets(totals: DataFrame) -> DataFrame:
-    """R1 per level, then U3 (union by name).  The levels share one aggregation
-    (the same subtree, so its shuffle is reused, not recomputed)."""
+    """R1 per level, then U3 (union by name).
+
+    All levels come from the same grouping-sets plan: the pre-aggregated
+    facts are shuffled once and reused, and Catalyst pushes each level's
+    filter below the grouping-sets aggregation, so each level aggregates only
+    its own expanded rows."""
     ids = ["level", "place_id", "priority_label", "ref_year"]
     return stack_by_name([unpivot_columns(w, ids, {y: f"target_{y}" for y in YEARS}, "target_year", "target_value")
                           for w in wide_targets(totals)])
