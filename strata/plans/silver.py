@@ -2,8 +2,9 @@
 
 Each table is a ``SilverSpec``: contract columns, key, a cleaning projection,
 row checks before and after de-duplication, and grouped reports.  ``promote``
-runs one with this job shape (5-8 Spark jobs per table instead of one job per
-printed number):
+runs one with two eager passes over the data (the gate pass and the write; the
+original ran one Spark action per printed number), every other report being a
+lazy DataFrame that costs nothing until it is read:
 
 1. read bronze; Q1 required columns; P1 contract projection
 2. clean (column expressions only; raw flag copies ride along for the raw gates)
@@ -70,8 +71,7 @@ def build(spec: SilverSpec, bronze: DataFrame, at: Column | None = None) -> tupl
         Q.require_columns(bronze, spec.columns)
     cleaned = spec.clean(bronze.select(*spec.columns))
     silver = keep_one_per_key(_drop_raw(cleaned), spec.keys)
-    if SILVER_TS not in silver.columns:
-        silver = silver.withColumn(SILVER_TS, at if at is not None else F.current_timestamp())
+    silver = silver.withColumn(SILVER_TS, at if at is not None else F.current_timestamp())
     return cleaned, silver
 
 
@@ -209,7 +209,8 @@ MUNICIPALITY_COLUMNS = ["ano", "id_municipio", "serie", "rede", *MEASURE_COLUMNS
 
 def clean_municipality(df: DataFrame) -> DataFrame:
     """Unguarded padding, plain trim (keeps ''), measures left as delivered,
-    audit columns not carried, layer timestamp added before the dedup."""
+    audit columns not carried.  (The original stamped the layer timestamp before
+    the dedup; it is one constant per run, so stamping after it is the same.)"""
     out = df.select(
         safe_cast(df, "ano", "int").alias("ano"),
         pad_id_unguarded("id_municipio").alias("id_municipio"),
@@ -217,7 +218,7 @@ def clean_municipality(df: DataFrame) -> DataFrame:
         trimmed_text("rede").alias("rede_id"),
         *MEASURE_COLUMNS,
     )
-    return out.select("*", decode("rede_id").alias("rede"), F.current_timestamp().alias(SILVER_TS))
+    return out.select("*", decode("rede_id").alias("rede"))
 
 
 def municipality_post_checks() -> list[Q.Check]:
