@@ -13,6 +13,7 @@ from strata.session import build_session  # noqa: E402
 def spark():
     shared = tempfile.mkdtemp(prefix="strata-test-")
     s = build_session("local[4]", "strata-tests", 8, {"spark.checkpoint.dir": shared,
+                                                      "spark.sql.warehouse.dir": f"{shared}/warehouse",
                                                       "spark.driver.memory": "4g"})
     yield s
     s.stop()

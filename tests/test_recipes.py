@@ -245,3 +245,13 @@ def test_gold_integrity(spark, layers, ran):
     r = gold.gold_integrity(broken).collect()
     assert [(x.relationship, x.orphan_rows, x.orphan_keys) for x in r] == [
         ("fato_aluno.id_municipio -> dim_municipio.id_municipio", 2, 1)]
+
+
+def test_catalog_layers_round_trip(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS strata_test_bronze")
+    lay = Layers(catalog=True, names={"bronze": "strata_test_bronze"})
+    assert lay.location("bronze", "uf") == "strata_test_bronze.uf"
+    write_layer(spark.createDataFrame(fx.STATES, fx.STATE_SCHEMA), lay, "bronze", "uf",
+                clustered_fields=["ano", "sigla_uf"])
+    back = read_layer(spark, lay, "bronze", "uf")
+    assert back.count() == len(fx.STATES) and "sigla_uf" in back.columns

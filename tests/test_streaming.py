@@ -72,7 +72,8 @@ def test_measurement_stream_matches_batch_view(spark, scratch):
     dim = spark.createDataFrame([("0000012", "Cidade A", "SP", "Sudeste")],
                                 "id_municipio string, nome_municipio string, sigla_uf string, nome_regiao string")
     landed = spark.read.parquet(src)
-    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    from strata.sources import landed_messages
+    stream = landed_messages(spark, "parquet", src, maxFilesPerTrigger=1)
     q = run_measurement_stream(stream, f"{scratch}/served", f"{scratch}/ckpt2")
     assert q.awaitTermination(300)
     got = serve(spark, f"{scratch}/served", dim)
