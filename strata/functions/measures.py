@@ -59,7 +59,8 @@ def mean_of_cents(total_cents, n) -> Column:
 
     Exact integer arithmetic (``div`` is integral division), so the result does
     not depend on the order in which partial sums were combined — a double
-    average does.  Ties round up; amounts are taken as non-negative.
+    average does.  Pass ``total_cents`` as ``decimal(38,0)`` when totals can
+    approach the bigint range.  Ties round up; amounts are taken as non-negative.
     """
     s, c = as_col(total_cents), as_col(n)
     cents = F.call_function("div", F.lit(2) * s + c, F.lit(2) * c)

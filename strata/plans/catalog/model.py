@@ -32,6 +32,7 @@ YEARS = list(range(1995, 2002))       # seven target years, like 2024..2030
 FINAL_YEAR = 2001
 ALL_LABEL = "ALL PRIORITIES"
 TARGET_STEP = 1000.0
+EXACT = "decimal(38,0)"    # cent totals stay exact (no bigint overflow) at any scale
 
 
 def order_facts(t: TableSet) -> DataFrame:
@@ -61,7 +62,7 @@ def level_totals(t: TableSet) -> DataFrame:
     g = order_facts(t).groupingSets(
         [["ref_year"], ["ref_year", "regionkey", "priority_label"], ["ref_year", "nationkey", "priority_label"]],
         "ref_year", "regionkey", "nationkey", "priority_label",
-    ).agg(F.sum("cents").alias("s"), F.sum("n").alias("c"),
+    ).agg(F.sum(F.col("cents").cast(EXACT)).alias("s"), F.sum("n").alias("c"),
           F.grouping("regionkey").alias("g_region"), F.grouping("nationkey").alias("g_nation"))
     world = (F.col("g_region") == 1) & (F.col("g_nation") == 1)
     region = F.col("g_nation") == 1
@@ -331,7 +332,8 @@ def monotone_targets(spark, sf_dir):
     cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nationkey"))
     cols = [f"revenue_{y}" for y in YEARS]
     wide = per_cust.join(cust, "o_custkey").groupBy("nationkey").agg(
-        *[(F.sum(F.when(F.col("y") == y, F.col("cents"))).cast("double") / F.lit(100.0)).alias(f"revenue_{y}")
+        *[(F.sum(F.when(F.col("y") == y, F.col("cents").cast(EXACT))).cast("double") / F.lit(100.0))
+          .alias(f"revenue_{y}")
           for y in YEARS])
     return wide.select("*", any_decrease(cols).alias("decreasing"),
                        (F.col(cols[0]).isNull() != F.col(cols[-1]).isNull()).alias("null_parity"))
