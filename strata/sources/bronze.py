@@ -1,21 +1,34 @@
 """Bronze ingestion — a raw copy stamped with arrival time and source name."""
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 INGESTED_AT = "_ingestao_timestamp"
 SOURCE = "_fonte"
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+def instant(at: datetime | str) -> Column:
+    """A fixed instant as a TIMESTAMP literal; naive values are taken as UTC.
+
+    Built from epoch microseconds, so the instant does not depend on the
+    session time zone.
+    """
+    moment = datetime.fromisoformat(at) if isinstance(at, str) else at
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=timezone.utc)
+    return F.timestamp_micros(F.lit((moment - _EPOCH) // timedelta(microseconds=1)))
 
 
 def stamp(df: DataFrame, source: str, at: datetime | str | None = None) -> DataFrame:
     """``SELECT *, <arrival time> AS _ingestao_timestamp, '<source>' AS _fonte``.
 
     ``at`` defaults to ``current_timestamp()`` (one value per query); pass a
-    fixed value for repeatable runs.
+    fixed instant (naive = UTC) for repeatable runs.
     """
-    ts = F.current_timestamp() if at is None else F.lit(str(at)).cast("timestamp")
+    ts = F.current_timestamp() if at is None else instant(at)
     return df.select("*", ts.alias(INGESTED_AT), F.lit(source).alias(SOURCE))
 
 

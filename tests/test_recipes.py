@@ -255,3 +255,16 @@ def test_catalog_layers_round_trip(spark):
                 clustered_fields=["ano", "sigla_uf"])
     back = read_layer(spark, lay, "bronze", "uf")
     assert back.count() == len(fx.STATES) and "sigla_uf" in back.columns
+
+
+def test_fixed_stamp_is_a_utc_instant(spark):
+    import datetime as dt
+    from strata.sources.bronze import instant
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Sao_Paulo", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            v = spark.range(1).select(F.unix_micros(instant("2024-01-01 06:00:00")).alias("u")).first().u
+            assert v == int(dt.datetime(2024, 1, 1, 6, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
