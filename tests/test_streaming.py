@@ -58,6 +58,8 @@ def _messages():
               id_municipio={"nested": 1}, rede="Privada", **base), "2024-06-01 16:00:02"),      # object as id
         (_msg(evento_id="e6", event_timestamp="2024-06-02T08:00:00-03:00", ano=2024, id_municipio="12",
               **base), "2024-06-01 16:00:03"),                                                  # missing rede
+        (_msg(evento_id="e2b", event_timestamp="2024-06-01T12:00:00-03:00", ano=2024, id_municipio="12",
+              rede="Municipal", **{**base, "taxa_alfabetizacao": 77.0}), "2024-06-01 16:00:04"),  # same time as e2
     ]
     return first, second
 
@@ -79,8 +81,8 @@ def test_measurement_stream_matches_batch_view(spark, scratch):
     got = serve(spark, f"{scratch}/served", dim)
     assert _rows(got) == _rows(batch_view(landed, dim))
     rows = {(r.id_municipio, r.rede): r for r in got.collect()}
-    # late older event lost; redelivery harmless
-    assert rows[("0000012", "Municipal")].taxa_alfabetizacao == 55.0
+    # late older event lost; redelivery harmless; equal event time -> greater evento_id wins
+    assert rows[("0000012", "Municipal")].taxa_alfabetizacao == 77.0
     assert rows[("0000012", "Municipal")].nome_municipio == "Cidade A"
     assert rows[("9999999", "Estadual")].nome_municipio is None               # unknown id keeps NULL names
     assert ("0000012", None) in rows                                          # missing rede is a key value
