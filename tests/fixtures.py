@@ -16,7 +16,7 @@ STUDENTS = [
     ("2023", "ABCDE", "87654321", "A3", "7", "2", "4", "1", "0", "1", None, None),         # literate not filled
     ("2023", "1234567", "12345678", "A4", "1", "2", None, "1", "1", "1", None, "1.0"),      # filled, NULL score; NULL network
     ("2023", "7654321", "1234567", "A5", "21", "2", "3", "1", "1", "0", "NaN", "0"),        # NaN score, zero weight
-    ("2024", "12", "12345678", "A1", "5", "2", "3", "1", "1", "1", "-5", "1.1"),            # negative score
+    ("2024", "12345", "12345678", "A1", "5", "2", "3", "1", "1", "1", "-5", "1.1"),         # 5 digits; negative score
     ("2023", " ", "12345678", " ", "5", "2", "3", "1", "1", "1", "100", "1"),              # ' ' ids
     ("2023", "", "12345678", "", "5", "2", "3", "1", "1", "1", "101", "1"),                # '' ids, same key
 ]

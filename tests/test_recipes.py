@@ -43,6 +43,7 @@ def test_student_columns_and_survivors(spark, layers, ran):
     assert len(rows) == 7
     assert rows[(2023, "A1")].proficiencia == 250.5          # deterministic survivor
     assert rows[(2023, "A1")].id_municipio == "0000012"
+    assert rows[(2024, "A1")].id_municipio == "0012345"     # 5 digits padded
     assert rows[(2023, "A2")].id_municipio == "123456789"    # guarded: not truncated
     assert rows[(2023, "A3")].id_municipio == "ABCDE"
     assert rows[(2023, None)].id_municipio is None and rows[(2023, None)].proficiencia == 100.0
@@ -244,7 +245,7 @@ def test_gold_integrity(spark, layers, ran):
               "dim_municipio": g("dim_municipio").filter(F.col("id_municipio") != "0000012")}
     r = gold.gold_integrity(broken).collect()
     assert [(x.relationship, x.orphan_rows, x.orphan_keys) for x in r] == [
-        ("fato_aluno.id_municipio -> dim_municipio.id_municipio", 2, 1)]
+        ("fato_aluno.id_municipio -> dim_municipio.id_municipio", 1, 1)]
 
 
 def test_catalog_layers_round_trip(spark):
