@@ -14,15 +14,24 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+_SIZE_CHECKS: dict[tuple, bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
 
     The check is a limited count (stops after ``max_rows + 1`` rows), so it is
-    cheap even when the answer is "too big".
+    cheap even when the answer is "too big".  The answer is remembered for the
+    session under the plan's semantic hash *and* its exact input files: new or
+    rewritten files (Spark writes fresh file names) give a new key and a new
+    check, so a grown table is never broadcast on a stale answer.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    small = _SIZE_CHECKS.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _SIZE_CHECKS[key] = small
+    return F.broadcast(df) if small else df
 
 
 def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",

@@ -144,3 +144,14 @@ def test_schema_diff_and_materialize(spark, scratch):
     assert schema_diff(a, b) == {"only_in_a": ["v"], "only_in_b": ["w"], "type_changed": ["k"]}
     back = materialize(spark, a, f"{scratch}/mat")
     assert [tuple(r) for r in back.collect()] == [(1, "x")]
+
+
+def test_bounded_broadcast_rechecks_when_files_change(spark, scratch):
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    path = f"{scratch}/dim"
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(path)
+    assert hinted(bounded_broadcast(spark.read.parquet(path), 2))
+    assert hinted(bounded_broadcast(spark.read.parquet(path), 2))     # remembered answer
+    spark.createDataFrame([(2, "b"), (3, "c"), (4, "d")], "k int, v string").write.mode("append").parquet(path)
+    assert not hinted(bounded_broadcast(spark.read.parquet(path), 2))  # new files -> new check -> too big
