@@ -188,9 +188,19 @@ def student_post_checks() -> list[Q.Check]:
     ]
 
 
+def _by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """O2: small per-group reports in key order."""
+    return df.orderBy(*keys)
+
+
+def _by_count(df: DataFrame, count_col: str = "n") -> DataFrame:
+    """O1 (frequency only): listings most frequent first."""
+    return df.orderBy(F.col(count_col).desc())
+
+
 def student_grouped(df: DataFrame) -> dict[str, DataFrame]:
     return {
-        "unmapped_networks": Q.unmapped_codes(df, "rede_id", "rede"),
+        "unmapped_networks": _by_count(Q.unmapped_codes(df, "rede_id", "rede")),
         "schools_in_many_municipalities": Q.functional_dependency(
             df, ["ano", "id_escola"], "id_municipio", skip_null=["id_escola"]),
     }
@@ -274,9 +284,11 @@ def state_post_checks() -> list[Q.Check]:
 
 def state_grouped(df: DataFrame) -> dict[str, DataFrame]:
     return {
-        "unmapped_networks": Q.unmapped_codes(df, "rede_id", "rede"),
-        "levels_filled_by_year": Q.fill_distribution(df, ["ano"], LEVEL_COLUMNS, "qtd_niveis_preenchidos", "count"),
-        "states_by_year": Q.distinct_per_group(df, ["ano"], "sigla_uf", "qtd_ufs"),
+        "unmapped_networks": _by_count(Q.unmapped_codes(df, "rede_id", "rede")),
+        "levels_filled_by_year": _by_key(
+            Q.fill_distribution(df, ["ano"], LEVEL_COLUMNS, "qtd_niveis_preenchidos", "count"),
+            "ano", "qtd_niveis_preenchidos"),
+        "states_by_year": _by_key(Q.distinct_per_group(df, ["ano"], "sigla_uf", "qtd_ufs"), "ano"),
     }
 
 
@@ -315,7 +327,7 @@ COUNTRY_TARGETS = SilverSpec(
     "meta_alfabetizacao_brasil", "meta_alfabetizacao_brasil", COUNTRY_TARGET_COLUMNS, ["ano", "rede"],
     lambda df: _clean_targets(df, None), lambda: [],
     lambda: _target_checks(COUNTRY_TARGET_COLUMNS, only_filled=False),
-    lambda df: {"labels_other_than_public": Q.unknown_labels(df, "rede", [PUBLIC_LABEL], "count")},
+    lambda df: {"labels_other_than_public": _by_count(Q.unknown_labels(df, "rede", [PUBLIC_LABEL], "count"), "count")},
     ["ano", "rede"], profile_columns=["rede"])
 
 STATE_TARGET_COLUMNS = ["ano", "sigla_uf", "rede", *PERCENT_COLUMNS, *AUDIT]
@@ -325,9 +337,11 @@ STATE_TARGETS = SilverSpec(
     lambda: [Q.outside_domain("sigla_uf", STATES), *_target_checks(STATE_TARGET_COLUMNS, only_filled=True),
              Q.null_parity("taxa_alfabetizacao", "percentual_participacao")],
     lambda df: {
-        "unknown_networks": Q.unknown_labels(df, "rede", KNOWN_NETWORK_LABELS, "count"),
-        "targets_filled_by_year": Q.fill_distribution(df, ["ano"], TARGET_COLUMNS, "qtd_metas_preenchidas", "count"),
-        "states_by_year": Q.distinct_per_group(df, ["ano"], "sigla_uf", "qtd_ufs"),
+        "unknown_networks": _by_count(Q.unknown_labels(df, "rede", KNOWN_NETWORK_LABELS, "count"), "count"),
+        "targets_filled_by_year": _by_key(
+            Q.fill_distribution(df, ["ano"], TARGET_COLUMNS, "qtd_metas_preenchidas", "count"),
+            "ano", "qtd_metas_preenchidas"),
+        "states_by_year": _by_key(Q.distinct_per_group(df, ["ano"], "sigla_uf", "qtd_ufs"), "ano"),
     },
     ["ano", "sigla_uf", "rede"], profile_columns=["ano", "sigla_uf", "rede"])
 
@@ -344,8 +358,8 @@ MUNICIPALITY_TARGETS = SilverSpec(
              Q.partial_fill(["taxa_alfabetizacao", "nivel_alfabetizacao", "percentual_participacao"],
                             name="partial_result", count_nulls=True)],
     lambda df: {
-        "unknown_networks": Q.unknown_labels(df, "rede", KNOWN_NETWORK_LABELS, "count"),
-        "target_nulls_by_year": Q.nulls_per_group(df, ["ano"], TARGET_COLUMNS, "nulos_"),
+        "unknown_networks": _by_count(Q.unknown_labels(df, "rede", KNOWN_NETWORK_LABELS, "count"), "count"),
+        "target_nulls_by_year": _by_key(Q.nulls_per_group(df, ["ano"], TARGET_COLUMNS, "nulos_"), "ano"),
     },
     ["ano", "id_municipio", "rede"], profile_columns=["ano", "rede", "nivel_alfabetizacao"])
 
