@@ -18,13 +18,17 @@ from strata.plans.catalog.registry import register
 EVENT_KEYS = ["user_id", "event_type"]
 EVENT_ORDER = ["ts", "event_id"]          # latest time, then the larger id
 OUTPUT = ["user_id", "event_type", "event_id", "ts", "value", "k"]
+MAX_FILES_PER_BATCH = 1000
 
 
 def run_event_stream(spark: SparkSession, events_path: str, timeout_s: int = 600) -> DataFrame:
     """File stream over the folder holding ``events_path``, limited to that file name."""
     folder, name = events_path.rsplit("/", 1)
     schema = spark.read.parquet(events_path).schema
-    source = (spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+    # availableNow honours maxFilesPerTrigger: a large backlog runs as several
+    # bounded micro-batches instead of one batch holding everything
+    source = (spark.readStream.schema(schema).option("pathGlobFilter", name)
+              .option("maxFilesPerTrigger", MAX_FILES_PER_BATCH).parquet(folder)
               .select("user_id", "event_type", "ts", "event_id", "value", json_int("props", "$.k").alias("k")))
     run = shared_path(spark, "streams", "events_latest", unique=True)
     query = start_latest_stream(source, EVENT_KEYS, EVENT_ORDER, f"{run}/table", f"{run}/checkpoint")

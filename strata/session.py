@@ -31,6 +31,8 @@ DEFAULT_CONF = {
     # streaming state off the JVM heap: the latest-per-key views never expire keys
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # checkpoint only the state changes of each micro-batch, not full snapshots
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
