@@ -1,7 +1,6 @@
 """Column functions against the edge semantics listed in SURVEY §1.5."""
 import math
 
-from pyspark.sql import functions as F
 
 from strata.functions import (
     any_decrease, attained, cast_columns, classify_period, decode, decode_flags, gap, json_int, json_scalar,

@@ -227,7 +227,6 @@ def test_ingest_stamps_and_overwrites(spark, tmp_path):
 
 
 def test_observed_post_report_equals_a_separate_pass(spark, layers, ran):
-    from strata.operators import quality as Q
     from strata.plans.silver import post_report
     for table, spec in SILVER_SPECS.items():
         written = read_layer(spark, layers, "silver", table)
