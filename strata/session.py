@@ -28,6 +28,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
+    # the planner sizes a file-based table by its compressed bytes; parquet
+    # expands several-fold in memory, so scale the estimate before it is
+    # compared with the automatic broadcast threshold
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     # streaming state off the JVM heap: the latest-per-key views never expire keys
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
