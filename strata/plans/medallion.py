@@ -101,8 +101,18 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder holding the bronze/silver/gold layers")
     parser.add_argument("--directory", help="location of the external municipality directory")
     parser.add_argument("--only", nargs="+", help="'silver', 'gold' or step names such as silver_uf gold_dim_uf")
+    parser.add_argument("--layer", nargs="+", default=[], metavar="LAYER=NAME",
+                        help="rename a layer's folder, e.g. silver=silver_test (runs against test layers)")
+    parser.add_argument("--catalog", action="store_true", help="layers are catalog schemas, not folders")
     args = parser.parse_args(argv)
-    layers = Layers(root=args.root, external={DIRECTORY: args.directory} if args.directory else {})
+    names = {"bronze": "bronze", "silver": "silver", "gold": "gold"}
+    for item in args.layer:
+        layer, _, name = item.partition("=")
+        if layer not in names or not name:
+            parser.error(f"bad --layer {item!r}; expected bronze|silver|gold=NAME")
+        names[layer] = name
+    layers = Layers(root=args.root, catalog=args.catalog, names=names,
+                    external={DIRECTORY: args.directory} if args.directory else {})
     spark = build_session(app_name="strata-medallion")
     try:
         for step, result in run_all(spark, layers, args.only).items():

@@ -268,3 +268,14 @@ def test_fixed_stamp_is_a_utc_instant(spark):
             assert v == int(dt.datetime(2024, 1, 1, 6, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_cli_runs_selected_steps_against_renamed_layers(spark, tmp_path):
+    from strata.plans import medallion
+    lay = Layers(root=str(tmp_path), names={"bronze": "bronze", "silver": "silver_test", "gold": "gold"})
+    write_layer(spark.createDataFrame(fx.STATES, fx.STATE_SCHEMA), lay, "bronze", "uf")
+    steps = medallion.run_all(spark, lay, ["silver_uf"])
+    assert list(steps) == ["silver_uf"] and (tmp_path / "silver_test" / "uf").exists()
+    import pytest as _pytest
+    with _pytest.raises(SystemExit):
+        medallion.main(["--root", str(tmp_path), "--layer", "nope=x"])
