@@ -108,3 +108,11 @@ def reconcile_summary(a: DataFrame, b: DataFrame) -> DataFrame:
     metrics = ["rows_a", "rows_b", "only_in_a", "only_in_b"]
     return totals.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
                                             for m in metrics])))
+
+
+def compare_tables(a: DataFrame, b: DataFrame) -> dict:
+    """U4 as one call: schema differences (metadata only), then counts and the
+    differing rows over the columns both sides share (both lazy DataFrames)."""
+    common = [c for c in a.columns if c in set(b.columns)]
+    a2, b2 = a.select(*common), b.select(*common)
+    return {"schema": schema_diff(a, b), "counts": reconcile_summary(a2, b2), "rows": reconcile(a2, b2)}

@@ -155,3 +155,13 @@ def test_bounded_broadcast_rechecks_when_files_change(spark, scratch):
     assert hinted(bounded_broadcast(spark.read.parquet(path), 2))     # remembered answer
     spark.createDataFrame([(2, "b"), (3, "c"), (4, "d")], "k int, v string").write.mode("append").parquet(path)
     assert not hinted(bounded_broadcast(spark.read.parquet(path), 2))  # new files -> new check -> too big
+
+
+def test_compare_tables_on_common_columns(spark):
+    from strata.operators.reshape import compare_tables
+    a = spark.createDataFrame([(1, "x", 1.0), (2, "y", 2.0)], "k int, v string, extra double")
+    b = spark.createDataFrame([(1, "x"), (3, "z")], "k int, v string")
+    r = compare_tables(a, b)
+    assert r["schema"]["only_in_a"] == ["extra"]
+    assert {x.metric: x.value for x in r["counts"].collect()} == {"rows_a": 2, "rows_b": 2, "only_in_a": 1, "only_in_b": 1}
+    assert sorted(tuple(x) for x in r["rows"].collect()) == [("only_in_a", 2, "y"), ("only_in_b", 3, "z")]
