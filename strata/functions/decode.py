@@ -34,11 +34,12 @@ def decode_join(df: DataFrame, code_col: str, lookup: DataFrame, lookup_code: st
                 lookup_label: str, label_col: str) -> DataFrame:
     """C4 for large code lists: left join to a lookup table.
 
-    The lookup is de-duplicated on its code first so that the join can never
+    The lookup is reduced to one label per code first (the smallest, so a
+    duplicated code gives the same answer every run), so the join can never
     multiply fact rows.
     """
-    table = (lookup.select(F.col(lookup_code).alias("__code"), F.col(lookup_label).alias(label_col))
-             .dropDuplicates(["__code"]))
+    table = (lookup.groupBy(F.col(lookup_code).alias("__code"))
+                   .agg(F.min(lookup_label).alias(label_col)))
     return df.join(table, F.col(code_col) == F.col("__code"), "left").drop("__code")
 
 

@@ -242,3 +242,18 @@ def event_parse(spark, sf_dir):
         pad_id_unguarded("user_id", 7, trim=False).alias("user_code"),
         "event_type", "value", json_int("props", "$.k").alias("k"),
     )
+
+
+@register("code_decode_join", """
+SELECT c.c_custkey, c.c_nationkey, n.n_name AS nation_label
+FROM customer c
+LEFT JOIN (SELECT n_nationkey, min(n_name) AS n_name FROM nation GROUP BY n_nationkey) n
+  ON c.c_nationkey = n.n_nationkey
+""")
+def code_decode_join(spark, sf_dir):
+    """C4 for code lists too large for a literal map: left join to a lookup
+    table de-duplicated on its code, so fact rows are never multiplied."""
+    from strata.functions import decode_join
+    t = TableSet(spark, sf_dir)
+    c = t.customer.select("c_custkey", "c_nationkey")
+    return decode_join(c, "c_nationkey", t.nation, "n_nationkey", "n_name", "nation_label")

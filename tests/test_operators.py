@@ -134,6 +134,7 @@ def test_decode_join_never_multiplies_rows(spark):
     out = decode_join(fact, "code", lookup, "c", "l", "label")
     rows = sorted((tuple(r) for r in out.collect()), key=str)
     assert len(rows) == 4 and ("9", None) in rows and ("2", "Estadual") in rows
+    assert ("1", "Federal") in rows                         # smallest label of a duplicated code
 
 
 def test_schema_diff_and_materialize(spark, scratch):
