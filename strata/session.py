@@ -61,19 +61,18 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return (spark.conf.get("spark.master", "") or "").startswith("local")
 
 
 def shared_root(spark: SparkSession) -> str:
     """Return the shared folder from ``spark.checkpoint.dir``.
 
     When unset on a local master, a private folder is created and registered
-    (both as the conf value and as the RDD checkpoint dir) so that later calls
-    agree.  On a cluster an unset value raises.
+    (as the conf value and, on a classic session, as the RDD checkpoint dir)
+    so that later calls agree.  On a cluster an unset value raises.  Only
+    ``spark.conf`` is needed, so this also works over Spark Connect.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not _is_local(spark):
@@ -83,7 +82,10 @@ def shared_root(spark: SparkSession) -> str:
         )
     root = tempfile.mkdtemp(prefix="strata-shared-")
     spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
+    try:
+        spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
+    except Exception:  # noqa: BLE001 — no SparkContext on Spark Connect; the conf value suffices
+        pass
     return root
 
 
