@@ -7,11 +7,13 @@
   starts with the ordering columns is the streaming equivalent and gives the
   same rows as the batch window.  No watermark: keys never expire, exactly like
   the view it replaces, so state grows with the number of keys (municipality x
-  network x year — small); use the RocksDB state store when it is large.
+  network x year — small).  The session default keeps state in RocksDB with
+  changelog checkpointing, off the JVM heap.
 * T4 the result is served from a table on shared storage: every micro-batch
   writes the keys it touched to ``<sink>/batch=<id>`` (overwrite, so a replayed
   batch replaces itself), and readers resolve the latest row per key again,
-  which is idempotent.
+  which is idempotent.  ``compact_latest`` folds finished batches into a
+  snapshot so reads stay proportional to the keyspace, not to the history.
 * T3 ``enriched`` joins the served rows to the dimension *at read time*, so a
   refreshed dimension is always seen, as with a view.
 """
