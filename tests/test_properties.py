@@ -77,3 +77,29 @@ def test_reconcile_all_is_multiset_difference(spark, left, right):
     expected = Counter({("only_in_a", *r): n for r, n in (ca - cb).items()})
     expected.update({("only_in_b", *r): n for r, n in (cb - ca).items()})
     assert got == expected
+
+
+id_text = st.one_of(st.none(), st.text(alphabet="0123456789AB \t", max_size=10))
+
+
+def _lpad7(t):
+    return t[:7] if len(t) >= 7 else "0" * (7 - len(t)) + t
+
+
+@SETTINGS
+@given(values=st.lists(id_text, max_size=25))
+def test_id_paddings_match_their_rules(spark, values):
+    import re
+    from strata.functions import normalized_text, pad_id_guarded, pad_id_unguarded
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [tuple(r) for r in df.select(pad_id_guarded(normalized_text("x")), pad_id_unguarded("x")).collect()]
+    expected = []
+    for v in values:
+        if v is None:
+            expected.append((None, None))
+            continue
+        t = v.strip(" ")                       # trim removes spaces only
+        n = t or None                          # '' -> NULL before the guarded pad
+        guarded = _lpad7(n) if n is not None and re.fullmatch(r"[0-9]{1,7}", n) else n
+        expected.append((guarded, _lpad7(t)))
+    assert got == expected
