@@ -103,3 +103,37 @@ def test_id_paddings_match_their_rules(spark, values):
         guarded = _lpad7(n) if n is not None and re.fullmatch(r"[0-9]{1,7}", n) else n
         expected.append((guarded, _lpad7(t)))
     assert got == expected
+
+
+label_text = st.one_of(st.none(), st.sampled_from(["pública", " PUBLICA ", "p�blica"]),
+                       st.text(alphabet="abAB á()", max_size=12))
+
+
+def _initcap(s):
+    out, prev = [], " "
+    for ch in s.lower():
+        out.append(ch.upper() if prev == " " else ch)
+        prev = ch
+    return "".join(out)
+
+
+@SETTINGS
+@given(values=st.lists(label_text, max_size=25))
+def test_label_normaliser_matches_its_rules(spark, values):
+    from strata.functions import normalize_label
+    from strata.functions.domains import PUBLIC_LABEL, PUBLIC_LABEL_VARIANTS
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(normalize_label("x")).collect()]
+    expected = []
+    for v in values:
+        if v is None:
+            expected.append(None)
+            continue
+        t = v.strip(" ")
+        if t.lower() in PUBLIC_LABEL_VARIANTS:
+            expected.append(PUBLIC_LABEL)
+        elif t == "":
+            expected.append(None)
+        else:
+            expected.append(_initcap(t))
+    assert got == expected
