@@ -137,3 +137,29 @@ def test_label_normaliser_matches_its_rules(spark, values):
         else:
             expected.append(_initcap(t))
     assert got == expected
+
+
+num_text = st.one_of(st.none(), st.sampled_from(["NaN", "inf", "-Infinity", "1e3", ".5", "1.", "+7", "99999999999"]),
+                     st.text(alphabet="0123456789.-+e ", max_size=8))
+
+
+@SETTINGS
+@given(values=st.lists(num_text, max_size=25))
+def test_guarded_casts_match_their_rules(spark, values):
+    import math
+    import re
+    from strata.functions import text_to_double, text_to_int
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [tuple(r) for r in df.select(text_to_int("x"), text_to_double("x")).collect()]
+    dec = re.compile(r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity)|(?i:nan)")
+    for v, (i, d) in zip(values, got):
+        t = None if v is None else v.strip(" ")
+        exp_i = int(t) if t is not None and re.fullmatch(r"[+-]?[0-9]+", t) else None
+        if exp_i is not None and not (-2**31 <= exp_i < 2**31):
+            exp_i = None                                   # out of int range -> NULL, never an error
+        assert i == exp_i, (v, i)
+        exp_d = float(t) if t is not None and dec.fullmatch(t) else None
+        if exp_d is not None and math.isnan(exp_d):
+            assert d is not None and math.isnan(d), (v, d)
+        else:
+            assert d == exp_d, (v, d)
