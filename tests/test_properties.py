@@ -163,3 +163,26 @@ def test_guarded_casts_match_their_rules(spark, values):
             assert d is not None and math.isnan(d), (v, d)
         else:
             assert d == exp_d, (v, d)
+
+
+@SETTINGS
+@given(rows=rows_strategy)
+def test_grouped_checks_match_brute_force(spark, rows):
+    from strata.operators.profile import value_profile
+    df = spark.createDataFrame(rows, SCHEMA)
+    # Q2: keys with more than one row (NULL keys group together)
+    per_key = Counter(r[0] for r in rows)
+    s = Q.duplicate_summary(df, ["k"]).first()
+    dups = {k: n for k, n in per_key.items() if n > 1}
+    assert (s.dup_keys, s.dup_rows, s.surplus_rows) == (len(dups), sum(dups.values()), sum(n - 1 for n in dups.values()))
+    # Q16: k -> distinct non-NULL b values, NULL k skipped
+    fd = {(r.k, r.n_values) for r in Q.functional_dependency(df, ["k"], "b", skip_null=["k"]).collect()}
+    values = {}
+    for k, _, b in rows:
+        if k is not None and b is not None:
+            values.setdefault(k, set()).add(b)
+    assert fd == {(k, len(v)) for k, v in values.items() if len(v) > 1}
+    # Q25: value frequencies of every listed column, NULL included
+    prof = Counter({(r.column_name, r.value): r.n for r in value_profile(df, ["a", "b"]).collect()})
+    expected = Counter([("a", None if r[1] is None else str(r[1])) for r in rows] + [("b", r[2]) for r in rows])
+    assert prof == expected
