@@ -141,3 +141,26 @@ def test_compaction_keeps_the_view_and_prunes_old_batches(spark, scratch):
     assert _rows(got) == _rows(expected)
     assert compact_latest(spark, sink, EVENT_KEYS, EVENT_ORDER) > upto    # a second, later snapshot
     assert _rows(read_latest(spark, sink, EVENT_KEYS, EVENT_ORDER).select(*OUTPUT)) == _rows(expected)
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None)
+@given(weights=st.lists(st.integers(min_value=1, max_value=5), min_size=1, max_size=4),
+       seed=st.integers(min_value=0, max_value=1000))
+def test_stream_equals_batch_for_any_file_split(spark, weights, seed):
+    import uuid
+    from strata.session import shared_path
+    run = shared_path(spark, "tests", "split", uuid.uuid4().hex)
+    ev = spark.read.parquet(EVENTS)
+    for part in ev.randomSplit([float(w) for w in weights], seed=seed):
+        part.coalesce(1).write.mode("append").parquet(f"{run}/in")
+    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in")
+              .select("user_id", "event_type", "ts", "event_id", "value", json_int("props", "$.k").alias("k")))
+    assert start_latest_stream(stream, EVENT_KEYS, EVENT_ORDER, f"{run}/sink", f"{run}/ckpt").awaitTermination(300)
+    got = read_latest(spark, f"{run}/sink", EVENT_KEYS, EVENT_ORDER).select(*OUTPUT)
+    from strata.operators.dedup import latest_per_key
+    expected = latest_per_key(ev, EVENT_KEYS, "ts", [F.col("event_id").desc()]).select(
+        "user_id", "event_type", "event_id", "ts", "value", json_int("props", "$.k").alias("k"))
+    assert _rows(got) == _rows(expected)
