@@ -186,3 +186,15 @@ def test_grouped_checks_match_brute_force(spark, rows):
     prof = Counter({(r.column_name, r.value): r.n for r in value_profile(df, ["a", "b"]).collect()})
     expected = Counter([("a", None if r[1] is None else str(r[1])) for r in rows] + [("b", r[2]) for r in rows])
     assert prof == expected
+
+
+@SETTINGS
+@given(rows=rows_strategy)
+def test_observed_report_equals_one_pass_report(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    checks = [Q.row_count(), *Q.nulls("k", "a", "b"), Q.outside_domain("b", ["a"]),
+              Q.out_of_range("a", 0.0, 2.0, nan=False)]
+    separate = sorted(map(tuple, Q.run_checks(df, checks).collect()), key=str)
+    observed, report = Q.observe_checks(df, checks)
+    observed.write.format("noop").mode("overwrite").save()      # the "write" that carries the checks
+    assert sorted(map(tuple, report(spark).collect()), key=str) == separate
