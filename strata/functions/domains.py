@@ -20,7 +20,8 @@ PUBLIC_LABEL = "Pública"
 PUBLIC_LABEL_VARIANTS = ["pública", "publica", "p�blica", "pãºblica"]
 
 # --- Fixed values: domains checked by the silver recipes ---------------------
-VALID_BOOKLETS = [str(v) for v in range(1, 22)] + ["43"]
+VALID_BOOKLETS = ["1", "2", "3", "4", "5", "6", "7", "8", "9", "10", "11",
+                  "12", "13", "14", "15", "16", "17", "18", "19", "20", "21", "43"]
 RARE_BOOKLET = "43"
 VALID_GRADES = [2]
 VALID_STUDENT_NETWORKS = ["2", "3", "4"]
@@ -33,10 +34,14 @@ STATES = [
 ]
 
 # --- Fixed values: horizons ---------------------------------------------------
-TARGET_YEARS = list(range(2024, 2031))          # meta_alfabetizacao_2024..2030
+TARGET_YEARS = [2024, 2025, 2026, 2027, 2028, 2029, 2030]   # meta_alfabetizacao_<year>
 FINAL_TARGET_YEAR = 2030
 TIME_DIMENSION_YEARS = (2023, 2030)             # inclusive
 LAST_OBSERVED_YEAR = 2024                       # <= realizado, > projetado
-LEVEL_COLUMNS = [f"proporcao_aluno_nivel_{i}" for i in range(9)]
+LEVEL_COLUMNS = [
+    "proporcao_aluno_nivel_0", "proporcao_aluno_nivel_1", "proporcao_aluno_nivel_2",
+    "proporcao_aluno_nivel_3", "proporcao_aluno_nivel_4", "proporcao_aluno_nivel_5",
+    "proporcao_aluno_nivel_6", "proporcao_aluno_nivel_7", "proporcao_aluno_nivel_8",
+]
 LEVEL_SUM_TOLERANCE = (99.9, 100.1)
 MUNICIPALITY_ID_WIDTH = 7
