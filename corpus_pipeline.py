@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, mixing, quality, toxicity
-from strata.llm.common import cut, read
+from strata.llm import bpe, minhash, mixing, quality, toxicity
+from strata.llm.common import ROW, cut, pack, read, unpack
 from strata.llm.queries import public_vocabulary, toxicity_grammar
 
 ORACLE_SQL = None  # numpy models and hashes; the stages are tested against brute-force versions
@@ -25,8 +25,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a predicted label of 1 go; the model learns from labelled documents that are not held out."""
     grammar = toxicity_grammar(spark, docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
-    scored = toxicity.score(docs, grammar, keys=tuple(docs.columns), text="text")
-    return scored.filter("predicted = 0").select(*[f"`{c}`" for c in docs.columns])
+    scored = toxicity.score(pack(docs, __text="text"), grammar, text="__text", keys=(ROW,))
+    return unpack(scored.filter("predicted = 0"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays, one with the smallest id."""
+    return minhash.representatives(spark, docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,6 +48,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality rules", quality_rules),
     ("toxicity", toxic_documents),
+    ("near-duplicates", near_duplicates),
     ("mixing sources", mix_sources),
     ("byte-level BPE", encode_tokens),
 ]

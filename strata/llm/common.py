@@ -16,6 +16,7 @@ from strata.session import shared_path
 ROW = "__row"
 WORD = r"[^\x20\x09-\x0D]+"  # a run of characters that are not ASCII white space
 GAP = r"[\x20\x09-\x0D]+"
+BLANKS = " \t\n\x0b\x0c\r"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
@@ -34,8 +35,8 @@ def unpack(df: DataFrame, *extra: Column) -> DataFrame:
 
 
 def words(text: Column) -> Column:
-    """The words of a text (null: no words) as an array, empty pieces removed at the ends only."""
-    tidy = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{GAP}|{GAP}$", "")
+    """The words of a text (null: no words) as an array."""
+    tidy = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.when(tidy == "", F.array().cast("array<string>")).otherwise(F.split(tidy, GAP))
 
 

@@ -32,7 +32,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from strata.llm.common import GAP, WORD, cut, drop_cut, pack, unpack
+from strata.llm.common import WORD, cut, drop_cut, pack, unpack, words
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -45,7 +45,6 @@ CUTOFF = 40.0
 MIN_ROWS = 40
 P = len(FLOORS)
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-BLANKS = " \t\n\x0b\x0c\r"
 
 
 def _coverage_factor() -> float:
@@ -61,8 +60,7 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` (any columns) plus a struct ``__stats`` with the counts of BASE and ``base_failed``."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     out = pack(df, __text=body)
-    tidy = F.btrim(F.col("__text"), F.lit(BLANKS))
-    out = out.withColumn("__words", F.when(tidy == "", F.array().cast("array<string>")).otherwise(F.split(tidy, GAP)))
+    out = out.withColumn("__words", words(F.col("__text")))
     out = out.withColumn("__lines", F.filter(F.split("__text", "\n"), lambda line: line.rlike(WORD)))
     out = out.select(
         "*", F.size("__words").cast("long").alias("__n"), F.length(F.array_join("__words", "")).cast("long").alias("__chars"),

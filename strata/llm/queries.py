@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, html, mixing, quality, toxicity
+from strata.llm import bpe, html, minhash, mixing, quality, toxicity
 from strata.llm.common import cut, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s.__size") * F.coalesce("t.times", F.lit(0))).alias("taken"))
 
 
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.classes(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(spark, read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
