@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, html, minhash, mixing, quality, toxicity
+from strata.llm import bpe, covertree, html, minhash, mixing, quality, toxicity
 from strata.llm.common import cut, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+@query
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = covertree.classes(spark, read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
