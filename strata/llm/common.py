@@ -49,6 +49,13 @@ def cut(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def again(spark: SparkSession, frame: DataFrame) -> DataFrame:
+    """A second reading of a copy made by ``cut``, for the other side of a self join."""
+    out = spark.read.schema(frame.schema).parquet(frame._cut_path)
+    out._cut_path = frame._cut_path
+    return out
+
+
 def drop_cut(spark: SparkSession, *frames: DataFrame) -> None:
     """Remove copies made by ``cut`` that nothing will read again."""
     jvm = spark.sparkContext._jvm

@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import again, cut
 from strata.llm.components import components
 
 COSINE = 0.98
@@ -205,20 +205,20 @@ def links(spark: SparkSession, points: DataFrame, cosine: float = COSINE) -> Dat
     cells = cut(spark, cells.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).join(
         net.withColumnRenamed("centre", "cell"), ["label", "dims", "cell"]), "cover-sizes")
     one = cells.select("label", "dims", *[F.col(c).alias(f"{c}1") for c in ("cell", "radius", "blocks", "c")])
-    two = cells.select("label", "dims", *[F.col(c).alias(f"{c}2") for c in ("cell", "radius", "blocks", "c")])
     gap = F.sqrt(F.aggregate(F.zip_with("c1", "c2", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
     limit = float(np.sqrt(2 - 2 * cosine)) + MARGIN
+    two = again(spark, cells).select("label", "dims", *[F.col(c).alias(f"{c}2") for c in ("cell", "radius", "blocks", "c")])
     meets = one.join(two, ["label", "dims"]).filter((F.col("cell1") <= F.col("cell2")) & (gap <= F.col("radius1") + F.col("radius2") + limit))
     # blocks of cells that may hold linked points; each pair once
     jobs = meets.select("label", "dims", "cell1", "cell2", F.explode(F.sequence(F.lit(0), F.col("blocks1") - 1)).alias("block1"), "blocks2")
     jobs = jobs.select("label", "dims", "cell1", "cell2", "block1", F.explode(F.sequence(F.lit(0), F.col("blocks2") - 1)).alias("block2"))
     jobs = cut(spark, jobs.filter((F.col("cell1") < F.col("cell2")) | (F.col("block1") <= F.col("block2"))), "cover-jobs")
-    blocked = dealt.join(cells.select("label", "dims", "cell", "blocks"), ["label", "dims", "cell"]).withColumn(
-        "block", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int")).select("label", "dims", "cell", "block", "node", "v")
+    blocked = cut(spark, dealt.join(cells.select("label", "dims", "cell", "blocks"), ["label", "dims", "cell"]).withColumn(
+        "block", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int")).select("label", "dims", "cell", "block", "node", "v"), "cover-blocks")
     place = ["label", "dims", "cell1", "block1", "cell2", "block2"]
     left = blocked.withColumnsRenamed({"cell": "cell1", "block": "block1"}).join(jobs, ["label", "dims", "cell1", "block1"])
-    right = blocked.withColumnsRenamed({"cell": "cell2", "block": "block2"}).join(
-        jobs.filter((F.col("cell1") != F.col("cell2")) | (F.col("block1") != F.col("block2"))), ["label", "dims", "cell2", "block2"])
+    right = again(spark, blocked).withColumnsRenamed({"cell": "cell2", "block": "block2"}).join(
+        again(spark, jobs).filter((F.col("cell1") != F.col("cell2")) | (F.col("block1") != F.col("block2"))), ["label", "dims", "cell2", "block2"])
 
     def meet(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         same = key[2] == key[4] and key[3] == key[5]

@@ -36,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import BLANKS, cut, words
+from strata.llm.common import BLANKS, again, cut, words
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -250,7 +250,7 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
     rest = labelled.join(open_, ["band", "hash"]).join(sketches, "key")
     rest = cut(spark, rest.withColumn("n_blocks", F.ceil(F.col("size") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("key"), "n_blocks")), "minhash-rest")
     asking = rest.filter("root != largest").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    asked = rest.withColumn("own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+    asked = again(spark, rest).withColumn("own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     pairs = asking.groupBy("band", "hash", F.col("block").alias("x"), F.col("other").alias("y")).cogroup(
         asked.groupBy("band", "hash", F.col("own").alias("x"), F.col("block").alias("y"))).applyInPandas(_compare, "a binary, b binary")
     links = confirmed(cut(spark, pairs.distinct(), "minhash-pairs"))
