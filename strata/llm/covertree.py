@@ -15,8 +15,8 @@ pair of blocks is one small job that any executor can run:
   distance of their points less both covering radii exceeds the limit, else the
   wider node of each is opened; leaf pairs are decided by the cosine itself.
 
-The traversal works on arrays of node pairs, level by level.  A bound keeps a
-margin of 1e-9, so rounding can only open too many pairs, never lose one.
+The traversal computes the distances of all children of two nodes as one product.  Bounds keep a
+margin above rounding, so that can only open too many pairs, never lose one.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and vectors without a label, link with nothing and are their own
@@ -37,9 +37,10 @@ from strata.llm.components import components
 COSINE = 0.98
 CENTRES = 32       # most centres of a label
 SAMPLE = 1024      # points of a label that centres are chosen from
-BLOCK = 1024       # points of a block, about
-LEAF = 8
+BLOCK = 2048       # points of a block, about
+LEAF = 64
 MARGIN = 1e-9
+BOUND = 1e-7       # added to every limit: a distance from a rounded product is off by less
 
 
 class CoverTree:
@@ -50,101 +51,94 @@ class CoverTree:
         self.points = points
         n = len(points)
         self.order = np.arange(n)
-        point, radius, first, last, begin, end = [0], [0.0], [0], [0], [0], [n]
-        distance = _distances(points, points[0])
-        radius[0] = float(distance.max(initial=0.0))
-        queue = [(0, distance)]  # node, distances of its range to its point
+        point, radius, first, last, begin, end = [0], [float(_distances(points, points[0]).max(initial=0.0))], [0], [0], [0], [n]
+        queue = [0]
         while queue:
-            node, distance = queue.pop()
+            node = queue.pop()
             a, b = begin[node], end[node]
-            if b - a <= LEAF or radius[node] <= 0.0:
+            if b - a <= LEAF or radius[node] <= MARGIN:
                 continue
             # the next level: a net at half the radius, every point goes to the first centre that covers it
-            span = self.order[a:b]
+            span = self.order[a:b].copy()
+            between = _matrix(points[span], points[span])
             half, left = radius[node] / 2, np.ones(b - a, dtype=bool)
-            groups = []
-            centre = point[node]
-            while left.any():
-                if groups:
-                    centre = int(span[np.argmax(left)])
-                    distance = _distances(points[span], points[centre])
-                own = left & (distance <= half)
-                groups.append((centre, np.nonzero(own)[0], distance[own]))
-                left &= ~own
-            self.order[a:b] = span[np.concatenate([g[1] for g in groups])]
+            centre, parts = int(np.nonzero(span == point[node])[0][0]), []
+            while True:
+                own = np.nonzero(left & (between[centre] <= half))[0]
+                own = own if len(own) else np.array([centre])  # a centre covers itself, whatever rounding says
+                parts.append((centre, own, float(between[centre][own].max())))
+                left[own] = False
+                left[centre] = False
+                if not left.any():
+                    break
+                centre = int(left.argmax())
+            self.order[a:b] = span[np.concatenate([own for _, own, _ in parts])]
             first[node] = len(point)
-            for centre_, members, reach in groups:
-                point.append(centre_)
-                radius.append(float(reach.max(initial=0.0)))
+            for centre, own, reach in parts:
+                point.append(int(span[centre]))
+                radius.append(reach if len(own) > 1 else 0.0)
                 first.append(0)
                 last.append(0)
                 begin.append(a)
-                end.append(a + len(members))
-                a += len(members)
-                queue.append((len(point) - 1, reach))
+                end.append(a + len(own))
+                a += len(own)
+                queue.append(len(point) - 1)
             last[node] = len(point)
         self.point, self.first, self.last = np.array(point), np.array(first), np.array(last)
         self.begin, self.end, self.radius = np.array(begin), np.array(end), np.array(radius)
 
+    def below(self, node: int) -> np.ndarray:
+        return self.order[self.begin[node]:self.end[node]]
+
+    def children(self, node: int) -> np.ndarray:
+        """The next level below a node; a leaf stands for itself."""
+        return np.arange(self.first[node], self.last[node]) if self.first[node] < self.last[node] else np.array([node])
+
 
 def _distances(points: np.ndarray, one: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, ((points - one) ** 2).sum(axis=1)))
 
 
-def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each range written out: (which range, value)."""
-    size = end - begin
-    which = np.repeat(np.arange(len(size)), size)
-    return which, np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin, size)
+def _matrix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances of unit vectors; rounding of the product is below MARGIN squared root wise, see ``dual_pairs``."""
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (x @ y.T)))
 
 
 def dual_pairs(one: CoverTree, two: CoverTree, cosine: float = COSINE, same: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Indices (i into one, j into two) of all pairs with at least that cosine; ``same``: each pair once, i < j."""
-    limit = np.sqrt(2 - 2 * cosine) + MARGIN
-    a, b = np.zeros(1, np.int64), np.zeros(1, np.int64)
-    found_i, found_j = [], []
-    while len(a):
-        nxt_a, nxt_b = [], []
-        for at in range(0, len(a), 200_000):  # bounded memory whatever the width of a level
-            x, y = a[at:at + 200_000], b[at:at + 200_000]
-            gap = np.sqrt(((one.points[one.point[x]] - two.points[two.point[y]]) ** 2).sum(axis=1))
-            near = gap <= limit + one.radius[x] + two.radius[y]
-            x, y = x[near], y[near]
-            leaf_x, leaf_y = one.first[x] == one.last[x], two.first[y] == two.last[y]
-            ends = leaf_x & leaf_y
-            if ends.any():
-                i, j = _leaf_pairs(one, two, x[ends], y[ends], cosine)
-                if same:
-                    keep = i < j
-                    i, j = i[keep], j[keep]
-                found_i.append(i)
-                found_j.append(j)
-            open_x = ~ends & (leaf_y | (~leaf_x & (one.radius[x] >= two.radius[y])))
-            open_y = ~ends & ~open_x
-            which, child = _ranges(one.first[x[open_x]], one.last[x[open_x]])
-            nxt_a.append(child)
-            nxt_b.append(y[open_x][which])
-            which, child = _ranges(two.first[y[open_y]], two.last[y[open_y]])
-            nxt_a.append(x[open_y][which])
-            nxt_b.append(child)
-        a, b = np.concatenate(nxt_a), np.concatenate(nxt_b)
-    if not found_i:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(found_i), np.concatenate(found_j)
-
-
-def _leaf_pairs(one: CoverTree, two: CoverTree, x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    out_i, out_j = [], []
-    for at in range(0, len(x), 4096):
-        p, q = x[at:at + 4096], y[at:at + 4096]
-        which, i = _ranges(one.begin[p], one.end[p])
-        again, j = _ranges(two.begin[q][which], two.end[q][which])
-        i, j = one.order[i][again], two.order[j]
-        for k in range(0, len(i), 200_000):
-            good = np.einsum("ij,ij->i", one.points[i[k:k + 200_000]], two.points[j[k:k + 200_000]]) >= cosine
-            out_i.append(i[k:k + 200_000][good])
-            out_j.append(j[k:k + 200_000][good])
-    return np.concatenate(out_i), np.concatenate(out_j)
+    limit = np.sqrt(2 - 2 * cosine) + BOUND
+    found_i: list[np.ndarray] = []
+    found_j: list[np.ndarray] = []
+    stack = [(0, 0)]
+    while stack:
+        a, b = stack.pop()
+        if one.first[a] == one.last[a] and two.first[b] == two.last[b]:  # two leaves: the cosines decide
+            p, q = one.below(a), two.below(b)
+            i, j = np.nonzero(one.points[p] @ two.points[q].T >= cosine)
+            found_i.append(p[i])
+            found_j.append(q[j])
+            continue
+        left, right = one.children(a), two.children(b)
+        for at in range(0, len(left), 2048):
+            part = left[at:at + 2048]
+            gap = _matrix(one.points[one.point[part]], two.points[two.point[right]])
+            i, j = np.nonzero(gap <= limit + one.radius[part][:, None] + two.radius[right][None, :])
+            x, y = part[i], right[j]
+            if same:  # the pair (y, x) is met as well
+                x, y = x[x <= y], y[x <= y]
+            single = (one.end[x] - one.begin[x] == 1) & (two.end[y] - two.begin[y] == 1)
+            p, q = one.point[x[single]], two.point[y[single]]
+            good = np.einsum("ij,ij->i", one.points[p], two.points[q]) >= cosine
+            found_i.append(p[good])
+            found_j.append(q[good])
+            stack.extend(zip(x[~single].tolist(), y[~single].tolist(), strict=True))
+    i, j = (np.concatenate(f) if f else np.empty(0, np.int64) for f in (found_i, found_j))
+    if not same:
+        return i, j
+    i, j = np.minimum(i, j), np.maximum(i, j)
+    i, j = i[i != j], j[i != j]
+    once = np.unique(i * len(one.points) + j)
+    return once // len(one.points), once % len(one.points)
 
 
 def unit(vector: F.Column) -> F.Column:
