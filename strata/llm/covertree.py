@@ -25,10 +25,12 @@ any equal vectors.
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm.common import again, cut
@@ -141,14 +143,28 @@ def dual_pairs(one: CoverTree, two: CoverTree, cosine: float = COSINE, same: boo
     return once // len(one.points), once % len(one.points)
 
 
-def unit(vector: F.Column) -> F.Column:
+def unit(vector: list | None) -> np.ndarray | None:
     """The vector in double precision, scaled to length one; null if it is null, zero or not finite throughout."""
-    doubles = F.transform(vector, lambda x: x.cast("double"))
-    # scaled by the largest component first, so that squares neither overflow nor vanish
-    top = F.array_max(F.transform(doubles, F.abs))
-    fine = (F.size(vector) > 0) & F.forall(doubles, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & (top > 0)
-    scaled = F.transform(doubles, lambda x: x / top)
-    return F.when(fine, F.transform(scaled, lambda x: x / F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, y: s + y * y))))
+    if vector is None or not len(vector):
+        return None
+    out = np.array([np.nan if x is None else x for x in vector], dtype=np.float64)
+    top = np.abs(out).max()
+    if not np.isfinite(top) or top == 0.0 or np.isnan(out).any():
+        return None
+    out /= top  # first by the largest component, so that squares neither overflow nor vanish
+    return out / np.sqrt(out @ out)
+
+
+def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, label, vector) to (id, label, key, unit vector); key is the digest of label and unit vector, null if the row links with nothing."""
+    for batch in batches:
+        labels = batch.column(1).to_pylist()
+        units = [unit(v) if label is not None else None for label, v in zip(labels, batch.column(2).to_pylist(), strict=True)]
+        keys = [None if v is None else hashlib.md5(f"{label}|{len(v)}|".encode() + (v + 0.0).tobytes()).digest()
+                for label, v in zip(labels, units, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()),
+                                          pa.array([None if v is None else v for v in units], pa.list_(pa.float64()))],
+                                         names=["id", "label", "key", "v"])
 
 
 def centres(points: DataFrame) -> DataFrame:
@@ -230,9 +246,9 @@ def links(spark: SparkSession, points: DataFrame, cosine: float = COSINE) -> Dat
 def classes(spark: SparkSession, df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
             cosine: float = COSINE) -> DataFrame:
     """(id, n_links, component_id) for every row of ``df``."""
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("string").alias("label"), unit(F.col(f"`{vector_col}`")).alias("v"))
-    rows = cut(spark, rows.withColumn("key", F.when(F.col("label").isNotNull() & F.col("v").isNotNull(), F.unhex(F.md5(F.concat_ws(
-        "|", "label", F.concat_ws(",", F.transform("v", lambda x: x.cast("string")))))))), "cover-vectors")
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("string").alias("label"), F.col(f"`{vector_col}`").alias("v"))
+    kind = df.schema[id_col].dataType.simpleString()
+    rows = cut(spark, rows.mapInArrow(_prepare, f"id {kind}, label string, key binary, v array<double>"), "cover-vectors")
     # one point per different vector of a label; nodes are numbered by the smallest id, or by the digest where ids repeat
     points = rows.filter("key is not null").groupBy("key").agg(
         F.first("label").alias("label"), F.first("v").alias("v"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
