@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, covertree, html, minhash, mixing, quality, toxicity
+from strata.llm import bpe, covertree, html, licenses, lm, minhash, mixing, quality, quotes, toxicity
 from strata.llm.common import cut, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def toxicity_grammar(spark: SparkSession, docs: DataFrame, labels: DataFrame) ->
     return toxicity.fit(cut(spark, texts, "toxicity-sample"))
 
 
+@query
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(spark, read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 @query
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
@@ -82,3 +87,13 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(spark, read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
     return judged.select("doc_id", *[f"__quality.{c}" for c in quality.BASE], "__quality.base_failed", "__quality.kept", "__quality.distance")
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
