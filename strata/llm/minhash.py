@@ -20,7 +20,7 @@ taken in growing groups, and pairs already in one class are not computed again.
 Buckets that then still hold several classes are compared in blocks: every
 member outside the largest class against all members of other classes, by the
 full signatures (a pair passes unless its estimate is ``SLACK`` standard
-deviations short), and what passes is computed.  So no cap limits a bucket, no
+deviations short), and the multisets of what passes are compared on the spot.  So no cap limits a bucket, no
 bucket is gathered whole, and no pairs within a class are listed.
 
 Defined results: null and empty texts (no words) are in no class with others;
@@ -201,19 +201,33 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(keys, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of two blocks of one bucket, of different classes, whose signatures may belong to SIMILARITY or more."""
+    """Links between two blocks of one bucket across classes: signatures first, then the multisets themselves.
+
+    A pair is looked at in the first band that its texts share, and a text that
+    is linked to a class is not compared with more of that class.
+    """
     out = []
     if len(left) and len(right):
-        one = np.frombuffer(b"".join(left["sketch"]), np.uint8).reshape(-1, M)
-        two = np.frombuffer(b"".join(right["sketch"]), np.uint8).reshape(-1, M)
+        band = keys[0]
+        one, two = (np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(-1, M) for x in (left, right))
+        shared, theirs = (np.array(x["bands"].tolist(), dtype=np.int64) for x in (left, right))
         least = M * (SIMILARITY - SLACK * (SIMILARITY * (1 - SIMILARITY) / M) ** 0.5)
-        roots, members = right["root"].to_numpy(), right["key"].to_numpy()
-        for i in range(len(left)):
-            close = (two == one[i]).sum(axis=1) >= least
-            for k in np.nonzero(close)[0]:
-                if roots[k] != left["root"].iloc[i]:
-                    out.append((max(left["key"].iloc[i], members[k]), min(left["key"].iloc[i], members[k])))
-    return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
+        roots, members, hashes = right["root"].to_numpy(), right["key"].to_numpy(), right["words"].to_numpy()
+        bags: dict[int, tuple] = {}
+        for i, (key, root, own) in enumerate(zip(left["key"], left["root"], left["words"], strict=True)):
+            alike = (two == one[i]).sum(axis=1)
+            close = np.nonzero((alike >= least) & (roots != root) & ((theirs == shared[i]).argmax(axis=1) == band))[0]
+            bag, linked = None, set()
+            for k in close[np.argsort(-alike[close], kind="stable")]:
+                if roots[k] in linked:
+                    continue
+                bag = bag or shingles(np.asarray(own, dtype=np.int64))
+                if k not in bags:
+                    bags[k] = shingles(np.asarray(hashes[k], dtype=np.int64))
+                if overlap(bag, bags[k]) >= SIMILARITY:
+                    linked.add(roots[k])
+                    out.append((max(key, members[k]), min(key, members[k])))
+    return pd.DataFrame(out, columns=["a", "b"])
 
 
 def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,14 +260,16 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
         "root", F.coalesce("root", "key"))
     per_class = labelled.groupBy("band", "hash", "root").agg(F.count(F.lit(1)).alias("n"))
     open_ = per_class.groupBy("band", "hash").agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    sketches = signed.filter("sketch is not null").groupBy("key").agg(F.first("sketch").alias("sketch"))
-    rest = labelled.join(open_, ["band", "hash"]).join(sketches, "key")
+    open_keys = labelled.join(open_, ["band", "hash"]).select("key").distinct()
+    details = signed.join(open_keys, "key").groupBy("key").agg(F.first(F.struct("sketch", "bands")).alias("d")).join(
+        texts, "key").select("key", "d.*", F.col("text").alias("words"))
+    rest = labelled.join(open_, ["band", "hash"]).join(details, "key")
     rest = cut(spark, rest.withColumn("n_blocks", F.ceil(F.col("size") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("key"), "n_blocks")), "minhash-rest")
     asking = rest.filter("root != largest").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     asked = again(spark, rest).withColumn("own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
     pairs = asking.groupBy("band", "hash", F.col("block").alias("x"), F.col("other").alias("y")).cogroup(
         asked.groupBy("band", "hash", F.col("own").alias("x"), F.col("block").alias("y"))).applyInPandas(_compare, "a binary, b binary")
-    links = confirmed(cut(spark, pairs.distinct(), "minhash-pairs"))
+    links = pairs.distinct()
     roots = cut(spark, components(spark, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "minhash-roots")
     placed = signed.select("doc_id", F.when(F.col("bands").isNotNull(), F.col("key")).alias("key")).join(
         roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
