@@ -3,7 +3,8 @@
 Spark 4 runs with ANSI on, where ``cast('abc' as int)`` raises; the original
 recipes ran with ANSI off, where a bad cast is NULL.  Every cast here is a
 ``try_cast``.  Numeric *text* is also guarded by a pattern, so that results do
-not depend on engine-specific leniency (``'1.7'`` as int, ``'1d'`` as double): text that is not a plain number becomes NULL.
+not depend on engine-specific leniency (``'1d'`` as double): text that is not
+a plain number becomes NULL.
 """
 from __future__ import annotations
 
@@ -12,20 +13,24 @@ from pyspark.sql.types import NumericType, StringType
 
 from strata.functions.util import as_col
 
-INT_TEXT = r"^[+-]?[0-9]+$"
+# integer text, or decimal text whose fraction is cut off, as a cast without ANSI mode reads it
+INT_TEXT = r"^[+-]?[0-9]+(\.[0-9]*)?$"
 # plain decimal / scientific text, or the special values both engines read
 DECIMAL_TEXT = r"^([+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity)|(?i:nan))$"
 
 
 def text_to_int(col) -> Column:
-    """Trimmed integer text -> int; anything else -> NULL."""
-    text = F.trim(as_col(col).cast("string"))
-    return F.when(text.rlike(INT_TEXT), text.try_cast("int"))
+    """Trimmed number text -> int, its fraction cut off (``'1.7'`` is 1); anything else -> NULL."""
+    return _whole_number(col, "int")
 
 
 def text_to_long(col) -> Column:
+    return _whole_number(col, "bigint")
+
+
+def _whole_number(col, to: str) -> Column:
     text = F.trim(as_col(col).cast("string"))
-    return F.when(text.rlike(INT_TEXT), text.try_cast("bigint"))
+    return F.when(text.rlike(INT_TEXT), F.regexp_extract(text, r"^([+-]?[0-9]+)", 1).try_cast(to))
 
 
 def text_to_double(col) -> Column:

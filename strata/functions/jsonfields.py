@@ -14,7 +14,8 @@ from strata.functions.util import as_col
 
 def json_scalar(col, path: str) -> Column:
     raw = F.get_json_object(as_col(col), path)
-    return F.when(~(raw.startswith("{") | raw.startswith("[")), raw)
+    bracketed = raw.startswith("{") | raw.startswith("[")
+    return F.when(~(bracketed & F.try_parse_json(raw).isNotNull()), raw)  # text may begin with a bracket, too
 
 
 def json_int(col, path: str) -> Column:

@@ -20,9 +20,9 @@ RANK = "__rank"
 
 
 def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[Column] = ()) -> list[Column]:
-    """``first`` followed by every other orderable column ascending (NULLs first)."""
+    """``first`` followed by every other orderable column ascending (NULLs last, so a filled row is preferred)."""
     used = set(keys)
-    rest = [F.col(f.name).asc_nulls_first() for f in df.schema.fields
+    rest = [F.col(f.name).asc_nulls_last() for f in df.schema.fields
             if f.name not in used and not isinstance(f.dataType, MapType)]
     return [*first, *rest]
 
@@ -48,10 +48,3 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], by: str | Column,
     """The row with the greatest ``by`` per key (NULL ``by`` loses)."""
     by_col = F.col(by) if isinstance(by, str) else by
     return keep_one_per_key(df, keys, [by_col.desc_nulls_last(), *tiebreak], complete_order)
-
-
-def deduplicate_with_timestamp(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None,
-                               column: str = "_silver_timestamp", at: Column | None = None) -> DataFrame:
-    """A9 + C9: deterministic dedup, then the layer's audit timestamp."""
-    out = keep_one_per_key(df, keys, order)
-    return out.withColumn(column, at if at is not None else F.current_timestamp())

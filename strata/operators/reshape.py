@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+COPY_BLOCK = 100_000     # copies of a row that one array holds
+
+
 def unpivot_columns(df: DataFrame, ids: Sequence[str | Column], columns: Mapping, name_col: str,
                     value_col: str, value_type: str | None = None, drop_nulls: bool = True) -> DataFrame:
     """Wide -> long.  ``columns`` maps the tag to emit (e.g. a year) to a column.
@@ -79,8 +82,11 @@ def reconcile(a: DataFrame, b: DataFrame, side_col: str = "side", keep_duplicate
     if not keep_duplicates:
         return counts.filter((n_a > 0) != (n_b > 0)).select(side, *cols)
     diff = counts.filter(n_a != n_b)
-    copies = F.explode(F.array_repeat(F.lit(1), F.abs(n_a - n_b).cast("int")))
-    return diff.select(side, *cols, copies.alias("__copy")).drop("__copy")
+    # copies in two steps of bounded arrays, dealt out in between, so that a row with very many copies is no single task
+    blocks = diff.select(side, *cols, F.abs(n_a - n_b).alias("__n")).select("*", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__n") - 1) / COPY_BLOCK))).alias("__block"))
+    inside = F.least(F.lit(COPY_BLOCK), F.col("__n") - F.col("__block") * COPY_BLOCK).cast("int")
+    return blocks.repartition("__block", *cols).select(side_col, *cols, F.explode(F.array_repeat(F.lit(1), inside)).alias("__copy")).drop("__copy")
 
 
 def schema_diff(a: DataFrame, b: DataFrame) -> dict:
@@ -116,3 +122,9 @@ def compare_tables(a: DataFrame, b: DataFrame) -> dict:
     common = [c for c in a.columns if c in set(b.columns)]
     a2, b2 = a.select(*common), b.select(*common)
     return {"schema": schema_diff(a, b), "counts": reconcile_summary(a2, b2), "rows": reconcile(a2, b2)}
+
+
+def targets_by_year(latest: DataFrame, keys: list[str], year: str, value: str) -> DataFrame:
+    """One row per ``keys`` with a map year -> value; ``latest`` has one row per key and year, so the map is as long as the horizon."""
+    entries = F.collect_list(F.struct(F.col(year), F.col(value)))
+    return latest.filter(F.col(year).isNotNull()).groupBy(*keys).agg(F.map_from_entries(entries).alias("targets"))

@@ -1,9 +1,8 @@
 """Dimension enrichment and key integrity.
 
-Dimension joins broadcast the dimension only behind a proven size bound:
-``bounded_broadcast`` reads at most ``max_rows + 1`` rows of the dimension to
-decide, and otherwise leaves the join to the planner (sort-merge / shuffled
-hash, with AQE's runtime broadcast conversion and skew splitting on top).
+Dimension joins carry no hint: the planner broadcasts a side below its byte
+threshold, adaptive execution does so once it knows the real size, and any
+other side goes through a shuffle join whose skewed partitions it splits.
 """
 from __future__ import annotations
 
@@ -11,37 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-
-_SIZE_CHECKS: dict[tuple, bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check is a limited count (stops after ``max_rows + 1`` rows), so it is
-    cheap even when the answer is "too big".  The answer is remembered for the
-    session under the plan's semantic hash *and* its exact input files: new or
-    rewritten files (Spark writes fresh file names) give a new key and a new
-    check, so a grown table is never broadcast on a stale answer.
-    """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    small = _SIZE_CHECKS.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _SIZE_CHECKS[key] = small
-    return F.broadcast(df) if small else df
-
-
-def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-           max_dim_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``fact`` joined to ``dim`` on shared column names (USING).
-
-    ``max_dim_rows=None`` skips the size check and leaves the strategy to AQE.
-    """
-    side = bounded_broadcast(dim, max_dim_rows) if max_dim_rows else dim
-    return fact.join(side, on=on, how=how)
+def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """``fact`` joined to ``dim`` on shared column names (USING)."""
+    return fact.join(dim, on=on, how=how)
 
 
 def distinct_projection(df: DataFrame, columns: Sequence[str]) -> DataFrame:

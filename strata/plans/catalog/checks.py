@@ -23,10 +23,10 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 FROM (
   SELECT *, row_number() OVER (
       PARTITION BY l_orderkey, l_linenumber
-      ORDER BY l_shipdate DESC NULLS LAST, l_partkey ASC NULLS FIRST, l_suppkey ASC NULLS FIRST,
-               l_quantity ASC NULLS FIRST, l_extendedprice ASC NULLS FIRST, l_discount ASC NULLS FIRST,
-               l_tax ASC NULLS FIRST, l_returnflag ASC NULLS FIRST, l_linestatus ASC NULLS FIRST,
-               l_shipdate ASC NULLS FIRST) AS rn
+      ORDER BY l_shipdate DESC NULLS LAST, l_partkey ASC NULLS LAST, l_suppkey ASC NULLS FIRST,
+               l_quantity ASC NULLS LAST, l_extendedprice ASC NULLS LAST, l_discount ASC NULLS FIRST,
+               l_tax ASC NULLS LAST, l_returnflag ASC NULLS LAST, l_linestatus ASC NULLS FIRST,
+               l_shipdate ASC NULLS LAST) AS rn
   FROM lineitem) t
 WHERE rn = 1
 """

@@ -202,8 +202,8 @@ WITH d AS (
                             ELSE CAST(p_retailprice AS VARCHAR) END AS price_txt
   FROM part)
 SELECT p_partkey,
-       CASE WHEN regexp_full_match(trim(size_txt), '[+-]?[0-9]+')
-            THEN TRY_CAST(trim(size_txt) AS INTEGER) END AS size_txt,
+       CASE WHEN regexp_full_match(trim(size_txt), '[+-]?[0-9]+([.][0-9]*)?')
+            THEN TRY_CAST(trunc(TRY_CAST(trim(size_txt) AS DECIMAL(30, 6))) AS INTEGER) END AS size_txt,
        CASE WHEN regexp_full_match(trim(price_txt),
                                    '([+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity)|(?i:nan))')
             THEN TRY_CAST(trim(price_txt) AS DOUBLE) END AS price_txt

@@ -20,8 +20,9 @@ from strata.functions import (
 )
 from strata.operators.dedup import latest_per_key
 from strata.operators.reshape import key_universe as _key_universe
-from strata.operators.reshape import pair_universe, reconcile, reconcile_summary, stack_by_name, unpivot_columns
-from strata.operators.star import bounded_broadcast, distinct_projection, enrich, orphan_summary
+from strata.operators.reshape import (pair_universe, reconcile, reconcile_summary, stack_by_name, targets_by_year,
+                                      unpivot_columns)
+from strata.operators.star import distinct_projection, enrich, orphan_summary
 from strata.plans.catalog.cleaning import STATUS_LABELS
 from strata.plans.catalog.registry import register
 from strata.session import shared_path
@@ -49,7 +50,7 @@ def order_facts(t: TableSet) -> DataFrame:
                 .agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n")))
     cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nationkey"))
     nation = t.nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_regionkey").alias("regionkey"))
-    return per_cust.join(cust, "o_custkey").join(bounded_broadcast(nation, 100_000), "nationkey", "left")
+    return per_cust.join(cust, "o_custkey").join(nation, "nationkey", "left")
 
 
 def level_totals(t: TableSet) -> DataFrame:
@@ -115,7 +116,7 @@ def labelled_targets(t: TableSet, totals: DataFrame | None = None) -> DataFrame:
     AQE's runtime check rather than a pre-count, which would cost a full pass.
     """
     totals = totals if totals is not None else level_totals(t)
-    return enrich(long_targets(totals), priority_dimension(t), "priority_label", "left", max_dim_rows=None)
+    return enrich(long_targets(totals), priority_dimension(t), "priority_label", "left")
 
 
 _FACTS_SQL = """
@@ -239,7 +240,7 @@ def results_shape(t: TableSet) -> DataFrame:
                  .select(F.col("ref_year").alias("year"), "place_id",
                          F.substring("priority_label", 1, 1).alias("priority_code"),
                          mean_of_cents("s", "c").alias("actual"), F.col("c").alias("n_orders")))
-    nation_dim = t.nation.join(bounded_broadcast(t.region, 100_000), F.col("n_regionkey") == F.col("r_regionkey"),
+    nation_dim = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"),
                                "left").select(
         F.col("n_nationkey").cast("string").alias("place_id"),
         F.col("n_name").alias("nation_name"), F.col("r_name").alias("region_name"))
@@ -247,15 +248,13 @@ def results_shape(t: TableSet) -> DataFrame:
     latest = latest_per_key(
         labelled_targets(t, totals).filter(F.col("level") == "nation"),
         ["level", "place_id", "priority_code", "target_year"], "ref_year")
-    # both slices come from the same latest set (one window computation, reused)
-    for_year = latest.select("place_id", "priority_code", F.col("target_year").alias("year"),
-                             F.col("target_value").alias("target_for_year"))
-    final = latest.filter(F.col("target_year") == FINAL_YEAR).select(   # W3
-        "place_id", "priority_code", F.col("target_value").alias("target_final"))
-    joined = (enrich(indicator, nation_dim, "place_id", max_dim_rows=100_000)
+    # the latest targets of a place and label in one row (seven years at most), joined once
+    horizon = targets_by_year(latest, ["place_id", "priority_code"], "target_year", "target_value")
+    joined = (enrich(indicator, nation_dim, "place_id")
               .join(priority_dimension(t), "priority_code", "left")
-              .join(for_year, ["place_id", "priority_code", "year"], "left")
-              .join(final, ["place_id", "priority_code"], "left"))
+              .join(horizon, ["place_id", "priority_code"], "left")
+              .withColumns({"target_for_year": F.col("targets")[F.col("year")],
+                            "target_final": F.col("targets")[F.lit(FINAL_YEAR)]}))       # W3
     return joined.select(
         "year", "place_id", "nation_name", "region_name", "priority_code", "priority_label",
         "actual", "n_orders", "target_for_year",

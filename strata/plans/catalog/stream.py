@@ -7,12 +7,14 @@ storage, and the query result is read back from there.
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.functions import json_int
 from strata.session import shared_path
 from strata.sources import TableSet
 from strata.streaming import enriched, read_latest, start_latest_stream
+from strata.streaming.measurements import resolve_latest
 from strata.plans.catalog.registry import register
 
 EVENT_KEYS = ["user_id", "event_type"]
@@ -21,23 +23,30 @@ OUTPUT = ["user_id", "event_type", "event_id", "ts", "value", "k"]
 MAX_FILES_PER_BATCH = 1000
 
 
-def run_event_stream(spark: SparkSession, events_path: str, timeout_s: int = 600) -> DataFrame:
-    """File stream over the folder holding ``events_path``, limited to that file name."""
-    folder, name = events_path.rsplit("/", 1)
-    schema = spark.read.parquet(events_path).schema
+def run_event_stream(spark: SparkSession, events_path: str) -> DataFrame:
+    """File stream over the events table, which may be one file or a folder of part files.
+
+    Runs until every file present is processed, however long that takes; a
+    failed stream raises its own exception.
+    """
+    static = spark.read.parquet(events_path)
+    schema = static.schema
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(events_path)
+    single = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isFile()
+    folder = events_path.rsplit("/", 1)[0] if single else events_path
     # availableNow honours maxFilesPerTrigger: a large backlog runs as several
     # bounded micro-batches instead of one batch holding everything
-    source = (spark.readStream.schema(schema).option("pathGlobFilter", name)
-              .option("maxFilesPerTrigger", MAX_FILES_PER_BATCH).parquet(folder)
-              .select("user_id", "event_type", "ts", "event_id", "value", json_int("props", "$.k").alias("k")))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES_PER_BATCH)
+    reader = reader.option("pathGlobFilter", path.getName()) if single else reader
+    columns = ["user_id", "event_type", "ts", "event_id", "value", json_int("props", "$.k").alias("k")]
+    source = reader.parquet(folder).select(*columns)
     run = shared_path(spark, "streams", "events_latest", unique=True)
     query = start_latest_stream(source, EVENT_KEYS, EVENT_ORDER, f"{run}/table", f"{run}/checkpoint")
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError("event stream did not finish")
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return read_latest(spark, f"{run}/table", EVENT_KEYS, EVENT_ORDER).select(*OUTPUT)
+    query.awaitTermination()
+    try:
+        return read_latest(spark, f"{run}/table", EVENT_KEYS, EVENT_ORDER).select(*OUTPUT)
+    except AnalysisException:      # no file, so no micro-batch and no table
+        return resolve_latest(static.select(*columns).filter("false"), EVENT_KEYS, EVENT_ORDER).select(*OUTPUT)
 
 
 _LATEST_SQL = """

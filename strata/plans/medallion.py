@@ -116,6 +116,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(app_name="strata-medallion")
     try:
         for step, result in run_all(spark, layers, args.only).items():
+            if isinstance(result, DataFrame):     # the integrity report is kept beside the tables it is about
+                result = write_layer(result, layers, "gold", "integrity")
             print(step, result if isinstance(result, str) else result.location)
     finally:
         spark.stop()

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from strata.functions import (
     decode, flag_to_bool, normalize_label, normalized_text, pad_id_guarded, pad_id_unguarded,
     safe_cast, trimmed_text,
+    text_to_int,
 )
 from strata.functions.domains import (
     KNOWN_NETWORK_LABELS, LEVEL_COLUMNS, LEVEL_SUM_TOLERANCE, PUBLIC_LABEL, RARE_BOOKLET, STATES,
@@ -144,7 +145,7 @@ def clean_students(df: DataFrame) -> DataFrame:
         normalized_text("id_escola").alias("id_escola"),
         normalized_text("id_aluno").alias("id_aluno"),
         F.upper(normalized_text("caderno")).alias("caderno"),
-        F.when(normalized_text("serie").rlike(r"^[+-]?[0-9]+$"), normalized_text("serie").try_cast("int")).alias("serie"),
+        text_to_int(normalized_text("serie")).alias("serie"),
         F.upper(normalized_text("rede")).alias("rede_id"),
         *[flags[f"{f}_id"].alias(f"{f}_id") for f in STUDENT_FLAGS],
         safe_cast(df, "proficiencia", "double").alias("proficiencia"),
@@ -224,7 +225,7 @@ def clean_municipality(df: DataFrame) -> DataFrame:
     out = df.select(
         safe_cast(df, "ano", "int").alias("ano"),
         pad_id_unguarded("id_municipio").alias("id_municipio"),
-        F.when(trimmed_text("serie").rlike(r"^[+-]?[0-9]+$"), trimmed_text("serie").try_cast("int")).alias("serie"),
+        text_to_int(trimmed_text("serie")).alias("serie"),
         trimmed_text("rede").alias("rede_id"),
         *MEASURE_COLUMNS,
     )
@@ -259,7 +260,7 @@ def clean_state(df: DataFrame) -> DataFrame:
     out = df.select(
         safe_cast(df, "ano", "int").alias("ano"),
         F.upper(trimmed_text("sigla_uf")).alias("sigla_uf"),
-        F.when(trimmed_text("serie").rlike(r"^[+-]?[0-9]+$"), trimmed_text("serie").try_cast("int")).alias("serie"),
+        text_to_int(trimmed_text("serie")).alias("serie"),
         trimmed_text("rede").alias("rede_id"),
         *[measures[c].alias(c) for c in MEASURE_COLUMNS],
         _c("_ingestao_timestamp").try_cast("timestamp").alias("_ingestao_timestamp"),

@@ -23,7 +23,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.functions import json_double, json_int, json_scalar, json_timestamp, pad_id_unguarded
+from strata.functions import json_double, json_scalar, json_timestamp, pad_id_unguarded
+from strata.functions.casts import text_to_long
 from strata.operators.star import enrich
 
 STATE_COL = "__latest"
@@ -35,24 +36,30 @@ def parse_measurements(messages: DataFrame, value_col: str = "data",
 
     Scalar JSON semantics: an object where a scalar is expected gives NULL;
     malformed JSON gives NULLs; bad numbers or timestamps give NULL instead of
-    failing the whole stream.  ``_rejected`` marks rows whose event time, key
-    or year could not be read, for a reject sink.  The id is padded without
+    failing the whole stream.  ``_rejected`` marks messages that are no
+    JSON, or whose event time or year is there but cannot be read, for a reject
+    sink; absent values are NULL and stay.  The id is padded without
     trimming, as the original view did.
     """
     v = F.col(value_col)
+    when, year = json_scalar(v, "$.event_timestamp"), json_scalar(v, "$.ano")
+    # an absent value is NULL and stays in the view; text that is there but cannot be read is rejected
+    unread = ((when.isNotNull() & json_timestamp(v, "$.event_timestamp").isNull()) | (year.isNotNull() & text_to_long(year).isNull())
+              | (v.isNotNull() & F.get_json_object(v, "$").isNull()))
     out = messages.select(
         json_scalar(v, "$.evento_id").alias("evento_id"),
         json_timestamp(v, "$.event_timestamp").alias("event_timestamp"),
         json_scalar(v, "$.tipo_evento").alias("tipo_evento"),
-        json_int(v, "$.ano").cast("bigint").alias("ano"),
+        text_to_long(year).alias("ano"),
         pad_id_unguarded(json_scalar(v, "$.id_municipio"), 7, trim=False).alias("id_municipio"),
         json_scalar(v, "$.rede").alias("rede"),
         json_double(v, "$.taxa_alfabetizacao").alias("taxa_alfabetizacao"),
         json_double(v, "$.media_portugues").alias("media_portugues"),
         json_scalar(v, "$.fonte").alias("fonte"),
         F.col(arrival_col).alias("_ingestao_stream"),
+        unread.alias("_rejected"),
     )
-    return out.withColumn("_rejected", F.col("event_timestamp").isNull() | F.col("ano").isNull())
+    return out
 
 
 def latest_per_key_stream(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -147,7 +154,6 @@ def compact_latest(spark: SparkSession, sink_path: str, keys: Sequence[str], ord
     return upto
 
 
-def enriched(latest: DataFrame, dim: DataFrame, on: str | Sequence[str],
-             max_dim_rows: int | None = 1_000_000) -> DataFrame:
+def enriched(latest: DataFrame, dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Left join to the dimension at read time; unknown ids keep NULL names."""
-    return enrich(latest, dim, on, "left", max_dim_rows)
+    return enrich(latest, dim, on, "left")

@@ -60,8 +60,8 @@ def test_flag_decode_keeps_code(spark):
 
 
 def test_guarded_casts(spark):
-    ints = one(spark, [(" 12 ",), ("1.7",), ("abc",), ("",), ("-3",)], "x string", text_to_int("x"))
-    assert ints == [12, None, None, None, -3]
+    ints = one(spark, [(" 12 ",), ("1.7",), ("-3.9",), (" 4. ",), ("2.0",), ("abc",), ("",), ("-3",), ("3000000000",)], "x string", text_to_int("x"))
+    assert ints == [12, 1, -3, 4, 2, None, None, -3, None]   # fractions are cut off, as without ANSI mode
     dbl = one(spark, [(" 1.5 ",), ("1e3",), ("1d",), (".5",), ("-Infinity",), ("n/a",)], "x string", text_to_double("x"))
     assert dbl == [1.5, 1000.0, None, 0.5, float("-inf"), None]
     assert math.isnan(one(spark, [("NaN",)], "x string", text_to_double("x"))[0])

@@ -8,7 +8,7 @@ from strata.operators import quality as Q
 from strata.operators.dedup import keep_one_per_key, latest_per_key
 from strata.operators.profile import value_profile
 from strata.operators.reshape import key_universe, pair_universe, reconcile, reconcile_summary, unpivot_columns
-from strata.operators.star import bounded_broadcast, enrich, orphan_summary
+from strata.operators.star import enrich, orphan_summary
 
 ROWS = [(1, "a", 10.0), (1, "a", 5.0), (1, "b", None), (2, None, 1.0), (None, "c", 2.0), (None, "c", 3.0)]
 SCHEMA = "k int, v string, x double"
@@ -110,9 +110,7 @@ def test_star_helpers(spark):
     dim = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string")
     out = sorted(tuple(r) for r in enrich(fact, dim, "k").collect())
     assert out == [(1, 10, "one"), (2, 20, "two"), (9, 90, None)]
-    assert "Broadcast" in bounded_broadcast(dim, 5).join(fact, "k")._jdf.queryExecution().executedPlan().toString()
-    big = bounded_broadcast(dim, 1)
-    assert "BroadcastHint" not in big._jdf.queryExecution().analyzed().toString()
+    assert "hint" not in enrich(fact, dim, "k")._jdf.queryExecution().analyzed().toString().lower()   # the planner decides
     o = orphan_summary(fact, dim, ["k"]).first()
     assert (o.orphan_rows, o.orphan_keys) == (1, 1)
     nulls = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, v int")
@@ -147,15 +145,12 @@ def test_schema_diff_and_materialize(spark, scratch):
     assert [tuple(r) for r in back.collect()] == [(1, "x")]
 
 
-def test_bounded_broadcast_rechecks_when_files_change(spark, scratch):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-    path = f"{scratch}/dim"
-    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(path)
-    assert hinted(bounded_broadcast(spark.read.parquet(path), 2))
-    assert hinted(bounded_broadcast(spark.read.parquet(path), 2))     # remembered answer
-    spark.createDataFrame([(2, "b"), (3, "c"), (4, "d")], "k int, v string").write.mode("append").parquet(path)
-    assert not hinted(bounded_broadcast(spark.read.parquet(path), 2))  # new files -> new check -> too big
+def test_except_all_of_a_hot_row(spark):
+    from strata.operators import reshape
+    a = spark.range(250_001).select(F.lit(1).alias("k"))
+    b = spark.createDataFrame([(1,), (2,)], "k int")
+    rows = reshape.reconcile(a, b, keep_duplicates=True).groupBy("side", "k").count().collect()
+    assert sorted(map(tuple, rows)) == [("only_in_a", 1, 250_000), ("only_in_b", 2, 1)]
 
 
 def test_compare_tables_on_common_columns(spark):

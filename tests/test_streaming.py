@@ -164,3 +164,13 @@ def test_stream_equals_batch_for_any_file_split(spark, weights, seed):
     expected = latest_per_key(ev, EVENT_KEYS, "ts", [F.col("event_id").desc()]).select(
         "user_id", "event_type", "event_id", "ts", "value", json_int("props", "$.k").alias("k"))
     assert _rows(got) == _rows(expected)
+
+
+def test_absent_time_and_year_stay_in_the_view(spark):
+    from strata.streaming.views import accepted, rejected
+    rows = [('{"evento_id":"1","ano":2024,"fonte":"[inep] x"}',), ('{"evento_id":"2","event_timestamp":"2024-01-01T00:00:00Z"}',),
+            ('{"evento_id":"3","ano":3000000000}',), ('{"evento_id":"4","ano":"x"}',), ('not json',)]
+    landed = spark.createDataFrame(rows, "data string").selectExpr("data", "timestamp'2024-01-02' AS publish_time")
+    kept = {r.evento_id: r for r in accepted(landed).collect()}
+    assert set(kept) == {"1", "2", "3"} and rejected(landed).count() == 2
+    assert kept["1"].event_timestamp is None and kept["1"].fonte == "[inep] x" and kept["2"].ano is None and kept["3"].ano == 3000000000
