@@ -24,12 +24,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = cut(spark, large.filter("a != b").distinct(), "components")
+        large = large.filter("a != b").distinct()  # one shuffle, read by both sides below
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         after = cut(spark, small.filter("a != b").distinct(), "components")
-        drop_cut(spark, now, large)
+        drop_cut(spark, now)
         now, before, seen = after, seen, _fingerprint(after)
         if seen == before:
             break

@@ -43,8 +43,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 M = BANDS * ROWS
-ROUNDS = ((0, 2), (2, 8), (8, BANDS))
+ROUNDS = ((0, 4), (4, BANDS))
 BLOCK = 1024
+COMPARED_WORDS = 2_000_000  # of texts that are indexed together
 SLACK = 4.0
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64(2**40 - 1)
@@ -200,34 +201,78 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
 
-def _compare(keys, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+class _Postings:
+    """Which of some multisets hold a shingle, and how often: one multiset is then compared with all of them at once."""
+
+    def __init__(self, bags: list[tuple[np.ndarray, np.ndarray]]):
+        elements, counts = np.concatenate([b[0] for b in bags]), np.concatenate([b[1] for b in bags])
+        order = np.argsort(elements, kind="stable")
+        self.owner, self.count = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])[order], counts[order]
+        self.elements, starts = np.unique(elements[order], return_index=True)
+        self.ends = np.append(starts, len(elements))
+        self.totals = np.array([int(b[1].sum()) for b in bags])
+
+    def overlaps(self, bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """``overlap`` of ``bag`` with each multiset."""
+        at = np.minimum(np.searchsorted(self.elements, bag[0]), len(self.elements) - 1)
+        held = self.elements[at] == bag[0]
+        at, own = at[held], bag[1][held]
+        many = self.ends[at + 1] - self.ends[at]
+        rows = np.repeat(self.ends[at] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        both = np.bincount(self.owner[rows], np.minimum(self.count[rows], np.repeat(own, many)), len(self.totals))
+        return both / (self.totals + int(bag[1].sum()) - both)
+
+
+def _compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Links between two blocks of each bucket, or between the members of each of several small buckets."""
+    out: list[tuple[bytes, bytes]] = []
+    if len(left) and len(right):
+        theirs = right.groupby(["band", "hash"], sort=False).indices
+        for bucket, rows in left.groupby(["band", "hash"], sort=False).indices.items():
+            if bucket in theirs:
+                out += _links(bucket[0], left.iloc[rows], right.iloc[theirs[bucket]])
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _links(band: int, left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[bytes, bytes]]:
     """Links between two blocks of one bucket across classes: signatures first, then the multisets themselves.
 
-    A pair is looked at in the first band that its texts share, and a text that
-    is linked to a class is not compared with more of that class.
+    A pair is looked at in the first band that its texts share, once if neither
+    text is in the largest class; the links returned join the same classes as
+    all links between the blocks do, without those inside a class already joined.
     """
     out = []
-    if len(left) and len(right):
-        band = keys[0]
-        one, two = (np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(-1, M) for x in (left, right))
-        shared, theirs = (np.array(x["bands"].tolist(), dtype=np.int64) for x in (left, right))
-        least = M * (SIMILARITY - SLACK * (SIMILARITY * (1 - SIMILARITY) / M) ** 0.5)
-        roots, members, hashes = right["root"].to_numpy(), right["key"].to_numpy(), right["words"].to_numpy()
-        bags: dict[int, tuple] = {}
-        for i, (key, root, own) in enumerate(zip(left["key"], left["root"], left["words"], strict=True)):
-            alike = (two == one[i]).sum(axis=1)
-            close = np.nonzero((alike >= least) & (roots != root) & ((theirs == shared[i]).argmax(axis=1) == band))[0]
-            bag, linked = None, set()
-            for k in close[np.argsort(-alike[close], kind="stable")]:
-                if roots[k] in linked:
-                    continue
-                bag = bag or shingles(np.asarray(own, dtype=np.int64))
-                if k not in bags:
-                    bags[k] = shingles(np.asarray(hashes[k], dtype=np.int64))
-                if overlap(bag, bags[k]) >= SIMILARITY:
-                    linked.add(roots[k])
-                    out.append((max(key, members[k]), min(key, members[k])))
-    return pd.DataFrame(out, columns=["a", "b"])
+    one, two = (np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(-1, M) for x in (left, right))
+    two = np.ascontiguousarray(two.T)
+    shared, theirs = (np.array(x["bands"].tolist(), dtype=np.int64) for x in (left, right))
+    front_l, front_r = (np.frombuffer(b"".join(k[:8] for k in x["key"]), ">u8") for x in (left, right))
+    both_ways = (right["root"] == right["largest"]).to_numpy()
+    labels = pd.factorize(pd.concat([left["root"], right["root"]]))[0]
+    label_l, label_r = labels[:len(left)], labels[len(left):]
+    least = M * (SIMILARITY - SLACK * (SIMILARITY * (1 - SIMILARITY) / M) ** 0.5)
+    near: dict[int, np.ndarray] = {}
+    for i in range(len(left)):
+        alike = (two == one[i][:, None]).view(np.uint8).sum(axis=0, dtype=np.uint8)
+        close = np.nonzero((alike >= least) & (label_r != label_l[i]) & (both_ways | (front_l[i] <= front_r)))[0]
+        close = close[(theirs[close] == shared[i]).argmax(axis=1) == band]
+        if len(close):
+            near[i] = close
+    needed = np.unique(np.concatenate(list(near.values()))) if near else np.empty(0, np.int64)
+    lengths = np.cumsum([len(right["words"].iloc[k]) for k in needed])
+    for part in np.split(needed, np.nonzero(np.diff(lengths // COMPARED_WORDS))[0] + 1) if len(needed) else []:
+        index = _Postings([shingles(np.asarray(right["words"].iloc[k], dtype=np.int64)) for k in part])
+        for i, close in near.items():
+            close = close[np.isin(close, part, assume_unique=True)]
+            close = close[label_r[close] != label_l[i]]
+            if not len(close):
+                continue
+            alike = index.overlaps(shingles(np.asarray(left["words"].iloc[i], dtype=np.int64)))[np.searchsorted(part, close)]
+            for k in close[alike >= SIMILARITY]:
+                if label_r[k] != label_l[i]:
+                    labels[labels == label_r[k]] = label_l[i]  # label_l and label_r are views
+                    a, b = left["key"].iloc[i], right["key"].iloc[k]
+                    out.append((max(a, b), min(a, b)))
+    return out
 
 
 def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -265,10 +310,16 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
         texts, "key").select("key", "d.*", F.col("text").alias("words"))
     rest = labelled.join(open_, ["band", "hash"]).join(details, "key")
     rest = cut(spark, rest.withColumn("n_blocks", F.ceil(F.col("size") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("key"), "n_blocks")), "minhash-rest")
-    asking = rest.filter("root != largest").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    asked = again(spark, rest).withColumn("own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    pairs = asking.groupBy("band", "hash", F.col("block").alias("x"), F.col("other").alias("y")).cogroup(
-        asked.groupBy("band", "hash", F.col("own").alias("x"), F.col("block").alias("y"))).applyInPandas(_compare, "a binary, b binary")
+    # buckets of one block are dealt to lanes of about a block's rows, so that a task call is worth its cost
+    lanes = -(-rest.filter("n_blocks = 1").count() // BLOCK) or 1
+    single = F.col("n_blocks") == 1
+    lane = [F.when(single, -1).otherwise(F.col("band")).alias("u"),
+            F.when(single, F.pmod(F.xxhash64("band", "hash"), F.lit(lanes))).otherwise(F.col("hash")).alias("v")]
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
+    asking = rest.filter("root != largest").withColumn("other", every_block)
+    asked = again(spark, rest).withColumn("own", every_block)
+    pairs = asking.groupBy(*lane, F.col("block").alias("x"), F.col("other").alias("y")).cogroup(
+        asked.groupBy(*lane, F.col("own").alias("x"), F.col("block").alias("y"))).applyInPandas(_compare, "a binary, b binary")
     links = pairs.distinct()
     roots = cut(spark, components(spark, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "minhash-roots")
     placed = signed.select("doc_id", F.when(F.col("bands").isNotNull(), F.col("key")).alias("key")).join(
