@@ -12,6 +12,9 @@ from strata.functions.casts import text_to_double, text_to_int
 from strata.functions.util import as_col
 
 
+NO_OFFSET = r"^\d+(-\d+(-\d+)?)?([T ]\d+(:\d+(:\d+(\.\d*)?)?)?)?$"
+
+
 def json_scalar(col, path: str) -> Column:
     raw = F.get_json_object(as_col(col), path)
     bracketed = raw.startswith("{") | raw.startswith("[")
@@ -27,5 +30,7 @@ def json_double(col, path: str) -> Column:
 
 
 def json_timestamp(col, path: str) -> Column:
-    """ISO-8601 text (with or without offset) -> TIMESTAMP; bad text -> NULL."""
-    return F.try_to_timestamp(json_scalar(col, path))
+    """ISO-8601 text -> TIMESTAMP, read as UTC without an offset (in any session time zone); bad text -> NULL."""
+    text = F.trim(json_scalar(col, path))
+    utc = F.concat(text.try_cast("timestamp_ntz").cast("string"), F.lit("Z"))
+    return F.try_to_timestamp(F.when(text.rlike(NO_OFFSET), utc).otherwise(text))

@@ -1,8 +1,8 @@
 """Full-overwrite table writes with an optional clustered layout.
 
 Clustering is expressed the Spark way: range-partition on the clustering
-columns (a sampled range shuffle, so no single task receives a hot key range
-unless one value alone is that large) and sort within each partition, so each
+columns, completed by a hash of the row (a sampled range shuffle, so rows that
+share one hot key still spread over tasks), and sort within each partition, so each
 output file covers a narrow, sorted slice of the keys and parquet min/max
 statistics let later scans skip row groups.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.sources.tables import Layers
 
@@ -18,7 +18,10 @@ from strata.sources.tables import Layers
 def clustered(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
     """S3: range-partition + sort within partitions on ``columns``."""
     cols = list(columns)
-    out = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields
+                if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+    ranges = [*cols, F.xxhash64(*hashable)] if hashable else cols
+    out = df.repartitionByRange(partitions, *ranges) if partitions else df.repartitionByRange(*ranges)
     return out.sortWithinPartitions(*cols)
 
 

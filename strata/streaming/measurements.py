@@ -103,14 +103,19 @@ def _snapshot_root(sink_path: str) -> str:
     return sink_path.rstrip("/") + "_snapshots"
 
 
+def _mark_root(sink_path: str) -> str:
+    """One row per snapshot whose write has committed; files of others are never read."""
+    return sink_path.rstrip("/") + "_snapshot_marks"
+
+
 def _latest_snapshot(spark: SparkSession, sink_path: str) -> int | None:
     """Greatest ``upto`` of a finished snapshot (a one-row aggregate, not data)."""
     from pyspark.errors import AnalysisException
     try:
-        snaps = spark.read.parquet(_snapshot_root(sink_path))
+        marks = spark.read.schema("upto long").parquet(_mark_root(sink_path))
     except AnalysisException:
         return None
-    return snaps.agg(F.max("upto")).first()[0]
+    return marks.agg(F.max("upto")).first()[0]
 
 
 def read_latest(spark: SparkSession, sink_path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -135,8 +140,8 @@ def compact_latest(spark: SparkSession, sink_path: str, keys: Sequence[str], ord
     Safe while the stream runs: the newest batch folder may still be in flight
     (or be replayed after a failure), so N is one below it — micro-batches
     commit in order, so every batch below the newest is final.  Batches after N
-    stay visible to readers, who switch to the snapshot once its write has
-    committed.  Returns N, or None when there is nothing final to fold.
+    stay visible to readers, who switch to the snapshot once its mark is there,
+    which is written after the snapshot has committed.  Returns N, or None when there is nothing final to fold.
     """
     batches = spark.read.parquet(sink_path)
     newest = batches.agg(F.max("batch")).first()[0]
@@ -151,6 +156,7 @@ def compact_latest(spark: SparkSession, sink_path: str, keys: Sequence[str], ord
         snap = spark.read.parquet(_snapshot_root(sink_path)).filter(F.col("upto") == prior).drop("upto")
         done = batches.filter((F.col("batch") > prior) & (F.col("batch") <= upto)).drop("batch").unionByName(snap)
     resolve_latest(done, keys, order).write.mode("overwrite").parquet(f"{_snapshot_root(sink_path)}/upto={upto}")
+    spark.range(upto, upto + 1, 1, 1).select(F.col("id").alias("upto")).write.mode("append").parquet(_mark_root(sink_path))
     return upto
 
 

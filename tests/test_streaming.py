@@ -174,3 +174,30 @@ def test_absent_time_and_year_stay_in_the_view(spark):
     kept = {r.evento_id: r for r in accepted(landed).collect()}
     assert set(kept) == {"1", "2", "3"} and rejected(landed).count() == 2
     assert kept["1"].event_timestamp is None and kept["1"].fonte == "[inep] x" and kept["2"].ano is None and kept["3"].ano == 3000000000
+
+
+def test_times_without_offset_are_utc_in_any_session_zone(spark):
+    from strata.functions import json_timestamp
+    rows = spark.createDataFrame([('{"t":"2024-03-01T10:00:00"}',), ('{"t":"2024-03-01T07:00:00-03:00"}',),
+                                  ('{"t":"2024-03-01"}',), ('{"t":"soon"}',)], "data string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        seen = []
+        for zone in ("UTC", "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            seen.append([r[0] for r in rows.select(json_timestamp("data", "$.t").cast("long")).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert seen[0] == seen[1] == [1709287200, 1709287200, 1709251200, None]
+
+
+def test_readers_ignore_a_snapshot_without_its_mark(spark, tmp_path):
+    from strata.streaming.measurements import compact_latest, read_latest
+    sink = str(tmp_path / "sink")
+    for batch in range(3):
+        spark.range(batch * 10, batch * 10 + 20).selectExpr("id AS k", f"{batch} AS t").write.parquet(f"{sink}/batch={batch}")
+    spark.range(3).selectExpr("id AS k", "9 AS t").write.parquet(f"{sink}_snapshots/upto=1")  # left by a writer that died
+    assert read_latest(spark, sink, ["k"], ["t"]).count() == 40
+    assert compact_latest(spark, sink, ["k"], ["t"]) == 1
+    served = read_latest(spark, sink, ["k"], ["t"])
+    assert served.count() == 40 and served.filter("t = 9").count() == 0
