@@ -14,9 +14,9 @@ component, so long texts need about one point per shingle.
 
 Classes: exact copies collapse first (128-bit digest of the text).  ``BANDS``
 bands of ``ROWS`` components put texts into buckets; each bucket links its
-members to a leader, the member with the smallest hash for that band, after the
-multisets' similarity has been computed (``SIMILARITY`` or more).  Bands are
-taken in growing groups, and pairs already in one class are not computed again.
+members to a leader, the member with the smallest key, after the multisets'
+similarity has been computed (``SIMILARITY`` or more).  The leaders of a group
+of near copies are the same in most bands, so a text meets a few of them only.
 Buckets that then still hold several classes are compared in blocks: every
 member outside the largest class against all members of other classes, by the
 full signatures (a pair passes unless its estimate is ``SLACK`` standard
@@ -43,7 +43,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 M = BANDS * ROWS
-ROUNDS = ((0, 4), (4, BANDS))
 BLOCK = 1024
 COMPARED_WORDS = 2_000_000  # of texts that are indexed together
 SLACK = 4.0
@@ -283,8 +282,7 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
     signed = cut(spark, rows.mapInArrow(_signature_batches, f"doc_id {kind}, key binary, bands array<bigint>, sketch binary"), "minhash-signatures")
     distinct = signed.filter("bands is not null").groupBy("key").agg(F.first("bands").alias("bands"))
     banded = distinct.select("key", F.posexplode("bands").alias("band", "hash"))
-    order = F.struct(F.xxhash64("key", "band").alias("o"), F.col("key"))
-    buckets = banded.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size"), F.min(order)["key"].alias("leader")).filter("size > 1")
+    buckets = banded.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("leader")).filter("size > 1")
     members = cut(spark, banded.join(buckets, ["band", "hash"]), "minhash-members")
     involved = members.select("key").distinct()
     texts = cut(spark, rows.join(involved, "key").groupBy("key").agg(F.first("text").alias("text")), "minhash-texts")
@@ -294,12 +292,8 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
         two = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
         return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary")
 
-    roots = spark.createDataFrame([], "node binary, root binary")
-    for begin, end in ROUNDS:
-        stars = members.filter(F.col("band").between(begin, end - 1) & (F.col("key") != F.col("leader"))).select(
-            F.greatest("key", "leader").alias("a"), F.least("key", "leader").alias("b")).distinct()
-        links = confirmed(_across(stars, roots) if begin else stars)
-        roots = cut(spark, components(spark, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "minhash-roots")
+    stars = members.filter("key != leader").select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
+    roots = cut(spark, components(spark, confirmed(stars)), "minhash-roots")
     # buckets with several classes: all members of other classes than the largest against all members, in blocks
     labelled = members.select("band", "hash", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "root", F.coalesce("root", "key"))
@@ -329,14 +323,6 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
         F.col("doc_id").alias(id_col), "key", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different classes so far."""
-    a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    joined = pairs.join(a, "a", "left").join(b, "b", "left")
-    return joined.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-
-
 def representatives(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with one row of each class: one with the smallest id; rows without words all stay."""
     found = classes(spark, df, id_col, text_col).filter("key is not null")
