@@ -139,14 +139,22 @@ def code_decode(spark, sf_dir):
 
 
 @register("flag_decode", """
-SELECT doc_id, quality AS quality_id, toxic AS toxic_id,
-       CASE WHEN quality = 1 THEN true WHEN quality = 0 THEN false END AS quality,
-       CASE WHEN toxic = 1 THEN true WHEN toxic = 0 THEN false END AS toxic
-FROM labels
+WITH d AS (
+  SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 2 ELSE quality END AS q,
+         CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE toxic END AS t
+  FROM labels)
+SELECT doc_id, q AS quality_id, t AS toxic_id,
+       CASE WHEN q = 1 THEN true WHEN q = 0 THEN false END AS quality,
+       CASE WHEN t = 1 THEN true WHEN t = 0 THEN false END AS toxic
+FROM d
 """)
 def flag_decode(spark, sf_dir):
-    """Each 0/1 flag kept as ``x_id`` int plus decoded boolean ``x``."""
-    return decode_flags(TableSet(spark, sf_dir).labels, ["quality", "toxic"])
+    """Each 0/1 flag kept as ``x_id`` int plus decoded boolean ``x``; absent and other values decode to NULL."""
+    k, j = F.col("doc_id") % 7, F.col("doc_id") % 5
+    raw = TableSet(spark, sf_dir).labels.select(
+        "doc_id", F.when(k == 0, F.lit(None)).when(k == 1, F.lit(2)).otherwise(F.col("quality")).alias("quality"),
+        F.when(j == 0, F.lit(None)).when(j == 1, F.lit(-1)).otherwise(F.col("toxic")).alias("toxic"))
+    return decode_flags(raw, ["quality", "toxic"])
 
 
 def _raw_label():
@@ -245,15 +253,19 @@ def event_parse(spark, sf_dir):
 
 
 @register("code_decode_join", """
+WITH c AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN c_nationkey + 1000 WHEN 1 THEN NULL ELSE c_nationkey END AS c_nationkey FROM customer)
 SELECT c.c_custkey, c.c_nationkey, n.n_name AS nation_label
-FROM customer c
+FROM c
 LEFT JOIN (SELECT n_nationkey, min(n_name) AS n_name FROM nation GROUP BY n_nationkey) n
   ON c.c_nationkey = n.n_nationkey
 """)
 def code_decode_join(spark, sf_dir):
     """C4 for code lists too large for a literal map: left join to a lookup
-    table de-duplicated on its code, so fact rows are never multiplied."""
+    table de-duplicated on its code, so fact rows are never multiplied; unknown
+    and absent codes keep a NULL label."""
     from strata.functions import decode_join
     t = TableSet(spark, sf_dir)
-    c = t.customer.select("c_custkey", "c_nationkey")
+    k = F.col("c_custkey") % 6
+    code = F.when(k == 0, F.col("c_nationkey") + 1000).when(k == 1, F.lit(None)).otherwise(F.col("c_nationkey"))
+    c = t.customer.select("c_custkey", code.alias("c_nationkey"))
     return decode_join(c, "c_nationkey", t.nation, "n_nationkey", "n_name", "nation_label")
