@@ -142,15 +142,23 @@ _GATES_SQL_CHECKS = [
      "o_orderpriority IS NOT NULL AND o_orderpriority NOT IN ('1-URGENT','2-HIGH','3-MEDIUM','4-NOT SPECIFIED','5-LOW')"),
 ]
 
+_GATES_SQL_SOURCES = {
+    "labels": "(SELECT CASE WHEN doc_id % 7 = 1 THEN 2 ELSE quality END AS quality, CASE WHEN doc_id % 5 = 1 THEN -1 ELSE toxic END AS toxic FROM labels) l",
+    "orders": "(SELECT o_orderpriority, CASE WHEN o_orderkey % 11 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders) o",
+}
+
 
 @register("quality_gates", "\nUNION ALL\n".join(
     f"SELECT '{t}' AS stage, '{n}' AS check_name, '{c}' AS column_name, count(*) FILTER (WHERE {p}) AS violations, "
-    f"'gate' AS severity, count(*) FILTER (WHERE {p}) = 0 AS passed FROM {t}"
+    f"'gate' AS severity, count(*) FILTER (WHERE {p}) = 0 AS passed FROM {_GATES_SQL_SOURCES[t]}"
     for t, n, c, p in _GATES_SQL_CHECKS))
 def quality_gates(spark, sf_dir):
-    """Q7-Q9 + Q26: blocking checks; ``passed`` is what ``enforce`` acts on."""
+    """Q7-Q9 + Q26: blocking checks on rows with wrong flags and statuses; ``passed`` is what ``enforce`` acts on."""
     t = TableSet(spark, sf_dir)
-    labels = t.labels
+    labels = t.labels.select("doc_id", F.when(F.col("doc_id") % 7 == 1, F.lit(2)).otherwise(F.col("quality")).alias("quality"),
+                             F.when(F.col("doc_id") % 5 == 1, F.lit(-1)).otherwise(F.col("toxic")).alias("toxic"))
+    orders = t.orders.select("o_orderpriority", F.when(F.col("o_orderkey") % 11 == 0, F.lit("X")).otherwise(
+        F.col("o_orderstatus")).alias("o_orderstatus"))
     # raw copies ride along with the decoded columns, so raw and decoded
     # checks run in the same single pass
     combined = decode_flags(labels.withColumns({"raw_quality": F.col("quality"), "raw_toxic": F.col("toxic")}),
@@ -166,7 +174,7 @@ def quality_gates(spark, sf_dir):
         Q.outside_domain("o_orderpriority", PRIORITIES, severity=Q.GATE),
     ]
     report = Q.run_checks(combined, label_checks, "labels").unionByName(
-        Q.run_checks(t.orders, order_checks, "orders"))
+        Q.run_checks(orders, order_checks, "orders"))
     return report.withColumn("passed", F.col("violations") == 0)
 
 

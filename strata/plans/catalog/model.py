@@ -195,7 +195,8 @@ def key_universe(spark, sf_dir):
 
 
 @register("dim_enrich", """
-WITH u AS (SELECT c_nationkey AS nationkey FROM customer UNION SELECT s_nationkey FROM supplier
+WITH u AS (SELECT c_nationkey AS nationkey FROM customer
+           UNION SELECT CASE s_suppkey % 9 WHEN 0 THEN s_nationkey + 1000 WHEN 1 THEN NULL ELSE s_nationkey END FROM supplier
            UNION SELECT n_nationkey FROM nation),
 r AS (SELECT DISTINCT r_regionkey, r_name FROM region)
 SELECT u.nationkey, n.n_name AS nation_name, n.n_regionkey AS regionkey, r.r_name AS region_name
@@ -203,9 +204,12 @@ FROM u LEFT JOIN nation n ON u.nationkey = n.n_nationkey
 LEFT JOIN r ON n.n_regionkey = r.r_regionkey
 """)
 def dim_enrich(spark, sf_dir):
-    """J1 (key universe left-join directory) + J2 (left-join a distinct projection)."""
+    """J1 (key universe left-join directory) + J2 (left-join a distinct projection); unknown and absent keys stay."""
     t = TableSet(spark, sf_dir)
-    u = _key_universe([(t.customer, "c_nationkey"), (t.supplier, "s_nationkey"), (t.nation, "n_nationkey")],
+    k = F.col("s_suppkey") % 9
+    supplier = t.supplier.select(F.when(k == 0, F.col("s_nationkey") + 1000).when(k == 1, F.lit(None)).otherwise(
+        F.col("s_nationkey")).alias("s_nationkey"))
+    u = _key_universe([(t.customer, "c_nationkey"), (supplier, "s_nationkey"), (t.nation, "n_nationkey")],
                       "nationkey")
     nation = t.nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("nation_name"),
                              F.col("n_regionkey").alias("regionkey"))
