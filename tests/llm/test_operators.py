@@ -298,6 +298,31 @@ def test_pseudo_likelihood(spark, docs, empty):
     assert lm.score(spark, docs).count() == len(ROWS) and lm.score(spark, empty).count() == 0
 
 
+def test_rare_words_have_probabilities_of_their_own(spark):
+    # twice as many words as have tokens; w0 and w1 are met once, two others share their hashed tokens far more often
+    common = [(i, " ".join(f"c{k}" for k in range(lm.KNOWN))) for i in range(6)]
+    rare = [(100 + k, f"w{k} w{k} w{k}" if k % 2 else f"w{k}") for k in range(lm.KNOWN)]
+    frame = spark.createDataFrame(common + rare, "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.score(spark, frame).collect()}
+    hashes = {r.text.split()[0]: r.h[0] for r in frame.filter("doc_id >= 100").select("text", lm.token_hashes(F.col("text")).alias("h")).collect()}
+    count = {f"w{k}": 3 if k % 2 else 1 for k in range(lm.KNOWN)}
+    total = Counter()
+    for word, n in count.items():
+        total[(hashes[word] >> 32) & (lm.CLASS - 1)] += n
+    counts = cut(spark, lm.word_counts(frame.select(lm.token_hashes(F.col("text")).alias("h"))), "test-counts")
+    assert counts.count() == 2 * lm.KNOWN
+    known = lm.vocabulary(counts)
+    rows = cut(spark, frame.select(F.col("doc_id").alias("__row"), lm.token_hashes(F.col("text")).alias("h")), "test-words")
+    costs = {r["__row"]: r.rare / lm.UNITS for r in lm.rare_costs(spark, rows, counts, known).collect()}
+    assert set(costs) == set(range(100, 100 + lm.KNOWN))
+    for k in range(lm.KNOWN):
+        word = f"w{k}"
+        assert abs(costs[100 + k] - count[word] * np.log(count[word] / total[(hashes[word] >> 32) & (lm.CLASS - 1)])) < 1e-6
+    # single rare words of one shared token differ by their counts alone
+    single = [k for k in range(0, lm.KNOWN, 2) if (hashes[f"w{k}"] >> 32) & (lm.CLASS - 1) == 0]
+    assert single and len({got[100 + k].log_likelihood for k in single}) == 1 and all(got[100 + k].log_likelihood < costs[100 + k] for k in single)
+
+
 def test_network_gradient():
     rng = np.random.default_rng(11)
     ids = rng.integers(0, lm.TOKENS, 50).astype(np.int32)
