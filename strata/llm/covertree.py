@@ -126,7 +126,7 @@ def dual_pairs(one: CoverTree, two: CoverTree, cosine: float = COSINE, same: boo
             gap = _matrix(one.points[one.point[part]], two.points[two.point[right]])
             i, j = np.nonzero(gap <= limit + one.radius[part][:, None] + two.radius[right][None, :])
             x, y = part[i], right[j]
-            if same:  # the pair (y, x) is met as well
+            if same and a == b:  # the pair (y, x) is met as well; below two different nodes it is not
                 x, y = x[x <= y], y[x <= y]
             single = (one.end[x] - one.begin[x] == 1) & (two.end[y] - two.begin[y] == 1)
             p, q = one.point[x[single]], two.point[y[single]]

@@ -228,6 +228,15 @@ def test_cover_tree_pairs_are_exact():
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(zip(*(a.tolist() for a in np.nonzero(np.triu(x @ x.T >= 0.98, 1))), strict=True))
 
 
+def test_cover_tree_pairs_along_a_curve():
+    for n in (400, 1500):  # inner nodes beside each other: over LEAF points per child
+        angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
+        x = np.stack([np.cos(angle), np.sin(angle)], axis=1)
+        tree = covertree.CoverTree(x)
+        i, j = covertree.dual_pairs(tree, tree, 0.98, same=True)
+        assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(zip(*(a.tolist() for a in np.nonzero(np.triu(x @ x.T >= 0.98, 1))), strict=True))
+
+
 def test_embedding_classes(spark):
     rng = np.random.default_rng(33)
     base = rng.normal(size=(6, 8))
