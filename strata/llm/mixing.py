@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from strata.llm.common import WORD, cut, pack, unpack
+from strata.llm.common import WORD, again, cut, pack, unpack
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -153,6 +153,21 @@ def split(spark: SparkSession, drawn: DataFrame, shards: int = SHARDS) -> DataFr
     return out.withColumn("shard_key", _unit(F.lit("shuffle"), "__key", "pass"))
 
 
+def shuffled(spark: SparkSession, placed: DataFrame) -> DataFrame:
+    """(__key, pass, shard, position) of the distinct documents of ``split``: places from 0 in each shard's shuffled order.
+
+    Places come from a range partitioning and counts per partition, so no shard is sorted in one task.
+    """
+    order = ["shard_key", "__key", "pass"]
+    dealt = placed.select("shard", *order).distinct().repartitionByRange("shard", *order).withColumn("part", F.spark_partition_id())
+    dealt = cut(spark, dealt, "mix-order")  # partition numbers are now data and cannot change
+    counts = again(spark, dealt).groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).drop("n")
+    inside = F.row_number().over(Window.partitionBy("shard", "part").orderBy(*order)) - 1
+    return dealt.withColumn("inside", inside).join(before, ["shard", "part"]).select(
+        "__key", "pass", "shard", (F.col("before") + F.col("inside")).cast("long").alias("position"))
+
+
 def sized(df: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
     """The packed rows that ``draw`` reads: __row, __key, __source, __size."""
     kind = F.col(f"`{source}`").cast("string")

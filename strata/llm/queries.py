@@ -68,13 +68,15 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
     sizes = cut(spark, mixing.sized(docs).select("__row.doc_id", "__key", "__source", "__size"), "mix-sizes")
-    drawn = mixing.draw(spark, sizes)
-    taken = drawn.groupBy("__key").agg(F.count_distinct("pass").alias("times"))
+    drawn = cut(spark, mixing.draw(spark, sizes), "mix-drawn")
+    placed = mixing.shuffled(spark, mixing.split(spark, drawn))
+    taken = placed.groupBy("__key").agg(F.count(F.lit(1)).alias("times"), F.sort_array(F.collect_list(F.struct("pass", "shard", "position"))).alias("copies"))
     plan = mixing.targets(spark, sizes)
     same = F.col("s.__source").eqNullSafe(F.col("p.__source"))
     return sizes.alias("s").join(taken.alias("t"), "__key", "left").join(cut(spark, plan, "mix-targets").alias("p"), same).select(
         "s.doc_id", F.col("s.__size").alias("size"), "p.source_size", "p.target",
-        (F.col("s.__size") * F.coalesce("t.times", F.lit(0))).alias("taken"))
+        (F.col("s.__size") * F.coalesce("t.times", F.lit(0))).alias("taken"), F.coalesce("t.copies.shard", F.array().cast("array<int>")).alias("shards"),
+        F.coalesce("t.copies.position", F.array().cast("array<bigint>")).alias("positions"))
 
 
 @query

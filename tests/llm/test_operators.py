@@ -216,6 +216,27 @@ def test_mix_comes_near_targets(spark, docs, empty):
     assert mixing.mix(spark, empty).count() == 0
 
 
+def test_mixing_query_deals_the_shards(spark, tmp_path):
+    from strata.llm import queries
+
+    rng = np.random.default_rng(61)
+    rows = [(i, f"d{i} " + "w " * int(rng.integers(1, 200)), "en", f"s{i % 3}", 0) for i in range(900)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op6_mixing(spark, str(tmp_path)).collect()
+    assert len(got) == 900 and all(r.taken == r["size"] * len(r.shards) == r["size"] * len(r.positions) for r in got)
+    at = defaultdict(list)
+    for r in got:
+        for shard, position in zip(r.shards, r.positions, strict=True):
+            at[shard].append((position, r.doc_id))
+    assert set(at) == set(range(mixing.SHARDS))
+    for placed in at.values():  # each shard is a shuffled line without holes
+        assert sorted(p for p, _ in placed) == list(range(len(placed)))
+        ids = [d for _, d in sorted(placed)]
+        assert ids != sorted(ids)
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert Counter(d for placed in at.values() for _, d in placed) == Counter(r.doc_id for r in mixing.mix(spark, frame).collect())
+
+
 # --- 3 embeddings -------------------------------------------------------------
 
 def test_cover_tree_pairs_are_exact():
