@@ -26,6 +26,8 @@ bucket is gathered whole, and no pairs within a class are listed.
 Defined results: null and empty texts (no words) are in no class with others;
 repeated rows are exact copies; the class id is the smallest doc_id of the
 class (null if all are null); a null doc_id is an ordinary row of its class.
+Ids may repeat over different texts, so the class itself is told by ``root``, a
+text's digest, and never by ``class_id``.
 """
 from __future__ import annotations
 
@@ -275,7 +277,11 @@ def _links(band: int, left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[byt
 
 
 def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, key, class_id) for every row; key is the digest of the text (null without words)."""
+    """(id, key, class_id, root, lead) for every row; key is the digest of the text (null without words).
+
+    ``root`` is the key that names the class, ``lead`` the key of the text that stands for it: the
+    smallest key under the smallest id (null if all ids are null).  Both are null without words.
+    """
     body = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.unhex(F.md5(body)).alias("key"), word_hashes(body).alias("text"))
     kind = df.schema[id_col].dataType.simpleString()
@@ -318,17 +324,18 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
     roots = cut(spark, components(spark, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "minhash-roots")
     placed = signed.select("doc_id", F.when(F.col("bands").isNotNull(), F.col("key")).alias("key")).join(
         roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "key"))
+    least = placed.filter("root is not null").groupBy("root").agg(first.alias("first"))
+    least = least.select("root", F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("lead"))
     return placed.join(least, "root", "left").select(
-        F.col("doc_id").alias(id_col), "key", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+        F.col("doc_id").alias(id_col), "key", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "root", "lead")
 
 
 def representatives(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with one row of each class: one with the smallest id; rows without words all stay."""
     found = classes(spark, df, id_col, text_col).filter("key is not null")
-    kept = found.groupBy("class_id", "key").agg(F.min(F.col(id_col)).alias("first")).filter(F.col("first").eqNullSafe(F.col("class_id")))
-    kept = kept.groupBy("class_id").agg(F.min("key").alias("__key"))  # several texts under the smallest id: one of them
-    kept = cut(spark, kept.select("__key", F.col("class_id").alias("__first")), "minhash-kept")
+    kept = found.select("root", F.col("lead").alias("__key"), F.col("class_id").alias("__first")).distinct()  # a row per class
+    kept = cut(spark, kept.select("__key", "__first"), "minhash-kept")
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
     body = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(row, F.unhex(F.md5(body)).alias("__key"), F.col(f"`{id_col}`").alias("__id"), (F.btrim(body, F.lit(BLANKS)) == "").alias("__empty"))

@@ -82,7 +82,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.classes(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
-    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("key").eqNullSafe(F.col("lead"))
+    return found.select("doc_id", "class_id", F.lower(F.hex("root")).alias("class_key"), kept.alias("kept"))
 
 
 @query

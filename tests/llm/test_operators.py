@@ -191,6 +191,26 @@ def test_classes_equal_brute_force(spark, docs, empty):
     assert minhash.classes(spark, empty).count() == 0 and minhash.representatives(spark, empty).count() == 0
 
 
+def test_classes_are_not_told_by_their_ids(spark, tmp_path):
+    from strata.llm import queries
+
+    rng = np.random.default_rng(71)
+    vocabulary = [f"w{k}" for k in range(300)]
+    texts = [" ".join(rng.choice(vocabulary, 60)) for _ in range(9)]
+    near = texts[8] + " end"
+    rows = [(None, t, "en", "s", 0) for t in texts[:4]]                # several different texts without an id
+    rows += [(7, t, "en", "s", 0) for t in texts[4:7]]                 # an id over different texts
+    rows += [(None, texts[7], "en", "s", 0), (9, texts[7], "en", "s", 0), (None, near, "en", "s", 0), (None, texts[8], "en", "s", 0)]
+    frame = spark.createDataFrame(rows, DOCS)
+    stay = minhash.representatives(spark, frame).collect()
+    one = {(r.doc_id, r.text) for r in stay}
+    assert len(stay) == 9 and len(one & {(None, near), (None, texts[8])}) == 1
+    assert one - {(None, near), (None, texts[8])} == {(None, t) for t in texts[:4]} | {(7, t) for t in texts[4:7]} | {(9, texts[7])}
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op7_minhash_near_dedup(spark, str(tmp_path)).collect()
+    assert len({r.class_key for r in got}) == 9 and sum(r.kept for r in got) == 9
+
+
 # --- 6 mixing -----------------------------------------------------------------
 
 def test_targets_and_split():
