@@ -8,8 +8,9 @@
 3. ``link`` joins the hashes of quoted passages to original messages: first to
    the earliest message of the same conversation with that hash, else to the
    earliest of all.  A passage goes to the message that most of its lines name
-   (a match of the whole passage outweighs them).  A message replies to the
-   earlier message that its passages of level one name.
+   (a match of the whole passage outweighs them), at every level, and carries that
+   original.  A message replies to the earlier message that most lines of its
+   passages of level one name.
 4. ``threads`` orders the messages of a conversation by thread (the message at
    the root of the replies), then turn: a reply always comes after its parent.
    ``position`` counts from 0 in that order.
@@ -86,52 +87,72 @@ def keys_of(text: str) -> list[tuple[int, int]]:
 
 
 def parsed(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """conv_id, turn, role, own, passages (level, text), quoted (level, hash, votes) and lines (hash) of every row."""
+    """conv_id, turn, role, own, passages (level, text), quoted (passage, level, hash, votes), lines (hash) and message of every row.
+
+    ``passage`` is the number of a passage in its message; ``message`` tells texts of one turn apart.
+    """
     rows = df.select(F.col(f"`{conv}`").cast("long").alias("conv_id"), F.col(f"`{turn}`").cast("long").alias("turn"),
                      F.col(f"`{role}`").cast("string").alias("role"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passage = pa.struct([("level", pa.int32()), ("text", pa.string())])
-        quote = pa.struct([("level", pa.int32()), ("hash", pa.int64()), ("votes", pa.int32())])
+        quote = pa.struct([("passage", pa.int32()), ("level", pa.int32()), ("hash", pa.int64()), ("votes", pa.int32())])
         for batch in batches:
-            done = [parse(t) for t in batch.column(3).to_pylist()]
+            texts = batch.column(3).to_pylist()
+            done = [parse(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array([own for own, _ in done], pa.string()),
                  pa.array([[{"level": level, "text": p} for level, p in found] for _, found in done], pa.list_(passage)),
-                 pa.array([[{"level": level, "hash": h, "votes": v} for level, p in found for h, v in keys_of(p)] for _, found in done], pa.list_(quote)),
-                 pa.array([[h for h, _ in keys_of(own)] for own, _ in done], pa.list_(pa.int64()))],
-                names=["conv_id", "turn", "role", "own", "passages", "quoted", "lines"])
+                 pa.array([[{"passage": i, "level": level, "hash": h, "votes": v} for i, (level, p) in enumerate(found) for h, v in keys_of(p)]
+                           for _, found in done], pa.list_(quote)),
+                 pa.array([[h for h, _ in keys_of(own)] for own, _ in done], pa.list_(pa.int64())),
+                 pa.array([digest(t or "") for t in texts], pa.int64())],
+                names=["conv_id", "turn", "role", "own", "passages", "quoted", "lines", "message"])
 
     return rows.mapInArrow(run, "conv_id long, turn long, role string, own string, passages array<struct<level:int,text:string>>, "
-                                "quoted array<struct<level:int,hash:long,votes:int>>, lines array<long>")
+                                "quoted array<struct<passage:int,level:int,hash:long,votes:int>>, lines array<long>, message long")
+
+
+MESSAGE = ["conv_id", "turn", "message"]
 
 
-def link(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, to_conv, to_turn): the original message of the passages of each level."""
+def named(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, message, passage, level, to, votes, inside): the messages that the lines of each passage name."""
     known = messages.filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     lines = known.select("conv_id", "turn", F.explode("lines").alias("hash"))
     here = lines.groupBy("conv_id", "hash").agg(F.min("turn").alias("here_turn"))
     first = lines.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    quoted = known.select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*")
+    quoted = known.select(*MESSAGE, F.explode("quoted").alias("q")).select(*MESSAGE, "q.*")
     joined = quoted.join(here, ["conv_id", "hash"], "left").join(first, "hash", "left")
     inside = F.col("here_turn") < F.col("turn")
     joined = joined.withColumn("to", F.when(inside, F.struct("conv_id", F.col("here_turn").alias("turn"))).when(
         F.col("first.conv_id") != F.col("conv_id"), F.col("first"))).filter("to is not null")
-    votes = joined.groupBy("conv_id", "turn", "level", "to").agg(F.sum("votes").alias("votes"), F.max(inside.cast("int")).alias("inside"))
-    best = votes.groupBy("conv_id", "turn", "level").agg(F.max_by("to", F.struct(
+    return joined.groupBy(*MESSAGE, "passage", "level", "to").agg(F.sum("votes").alias("votes"), F.max(inside.cast("int")).alias("inside"))
+
+
+def link(votes: DataFrame, *by: str) -> DataFrame:
+    """(conv_id, turn, message, ``by``, to_conv, to_turn): the original message that most votes of ``named`` name."""
+    summed = votes.groupBy(*MESSAGE, *by, "to").agg(F.sum("votes").alias("votes"), F.max("inside").alias("inside"))
+    best = summed.groupBy(*MESSAGE, *by).agg(F.max_by("to", F.struct(
         "inside", "votes", -F.col("to.conv_id"), -F.col("to.turn"))).alias("to"))
-    return best.select("conv_id", "turn", "level", F.col("to.conv_id").alias("to_conv"), F.col("to.turn").alias("to_turn"))
+    return best.select(*MESSAGE, *by, F.col("to.conv_id").alias("to_conv"), F.col("to.turn").alias("to_turn"))
 
 
 def conversations(spark: SparkSession, df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row per message: conv_id, turn, role, own text without quotes, passages, reply_to_conv / reply_to_turn, thread, position, formatted."""
+    """One row per message: conv_id, turn, role, own text without quotes, passages (each with its original, to_conv / to_turn), reply_to_conv / reply_to_turn, thread, position, formatted."""
     messages = cut(spark, parsed(df, conv, turn, role, text), "quotes-messages")
-    links = cut(spark, link(messages), "quotes-links")
-    direct = links.filter("level = 1").select("conv_id", "turn", "to_conv", "to_turn")
+    votes = cut(spark, named(messages), "quotes-votes")
+    direct = cut(spark, link(votes.filter("level = 1")), "quotes-links")
+    originals = link(votes, "passage").groupBy(*MESSAGE).agg(F.map_from_entries(F.collect_list(
+        F.struct("passage", F.struct("to_conv", "to_turn")))).alias("originals"))
     edges = direct.filter("to_conv = conv_id").select(F.struct("conv_id", "turn").alias("a"), F.struct(
         F.col("to_conv").alias("conv_id"), F.col("to_turn").alias("turn")).alias("b"))
     roots = components(spark, edges).select("node.conv_id", "node.turn", F.col("root.turn").alias("root_turn"))
-    rows = messages.drop("quoted", "lines").join(direct, ["conv_id", "turn"], "left").join(roots, ["conv_id", "turn"], "left")
+    rows = messages.drop("quoted", "lines").join(direct, MESSAGE, "left").join(originals, MESSAGE, "left").join(roots, ["conv_id", "turn"], "left")
+    original = lambda i: F.try_element_at("originals", i)
+    rows = rows.withColumn("passages", F.transform("passages", lambda p, i: F.struct(
+        p["level"].alias("level"), p["text"].alias("text"), original(i)["to_conv"].alias("to_conv"), original(i)["to_turn"].alias("to_turn"))))
+    rows = rows.drop("originals", "message")
     rows = rows.withColumn("thread", F.coalesce("root_turn", "turn")).drop("root_turn").withColumn("__tie", F.xxhash64("role", "own"))
     order = [F.col("thread").asc_nulls_last(), F.col("turn").asc_nulls_last(), F.col("__tie")]
     dealt = rows.repartitionByRange(F.col("conv_id"), *order).withColumn("__part", F.spark_partition_id())

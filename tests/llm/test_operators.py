@@ -401,6 +401,18 @@ def test_quotations(spark):
     assert quotes.conversations(spark, frame.filter("false")).count() == 0
 
 
+def test_every_passage_has_its_original(spark):
+    rows = [(1, 0, "user", "first question\nmore of it"), (1, 1, "assistant", "an answer"), (1, 2, "user", "another remark"),
+            (1, 3, "assistant", "> first question\nyes\n> an answer\n> nobody wrote this\nno\n>> another remark\n> unheard of\nend"),
+            (1, 3, "assistant", "> another remark\nsame turn")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.text: r for r in quotes.conversations(spark, frame).collect()}
+    passages = [(p.level, p.text, p.to_conv, p.to_turn) for p in got["yes\nno\nend"].passages]
+    assert passages == [(1, "first question", 1, 0), (1, "an answer\nnobody wrote this", 1, 1), (2, "another remark", 1, 2), (1, "unheard of", None, None)]
+    assert got["yes\nno\nend"].reply_to_turn == 0 and got["same turn"].reply_to_turn == 2
+    assert [(p.to_conv, p.to_turn) for p in got["same turn"].passages] == [(1, 2)] and got["an answer"].passages == []
+
+
 # --- the pipeline -------------------------------------------------------------
 
 def test_pipeline_stages(spark, tmp_path):
