@@ -334,6 +334,26 @@ def test_licence_scan(spark):
     assert found == {100 + i: (f, 1) for i, f in enumerate(notices)}
 
 
+def test_wrapped_licence_notices(spark):
+    rng = np.random.default_rng(91)
+    vocabulary = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(300)]
+    filler = [" ".join(rng.choice(vocabulary, 12)) for _ in range(60)]
+    mit = ("/*\n * Permission is hereby granted, free of charge, to any person\n * obtaining a copy of this software and associated documentation files\n"
+           " * (the \"Software\"), to deal in the Software without restriction, including\n * without limitation the rights to use, copy, modify, merge, publish,\n"
+           " * distribute, sublicense, and/or sell copies of the Software\n */\n")
+    gpl = ("# This program is free software: you can redistribute it and/or\n# modify it under the terms of the GNU General Public License as\n"
+           "# published by the Free Software Foundation, either version 3 of the\n# License, or (at your option) any later version.\n")
+    bsd = ("Redistribution and use in source and binary forms, with or\nwithout modification, are permitted provided that the\nfollowing conditions are met:\n"
+           "Released under the MIT License.\n")
+    broken = "To the extent possible under law, the\nauthor has waived all copyright and related or neighboring\nrights to this work."
+    rows = [(i, t) for i, t in enumerate(filler)] + [
+        (100, mit + filler[0]), (101, filler[1] + "\n\n" + gpl + "\n" + filler[2]), (102, bsd + filler[3]), (103, broken), (104, filler[4] + "\n" + gpl + filler[5])]
+    got = licenses.scan(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((r.doc_id, r.paragraph, r.n_lines, r.family) for r in got if r.confirmed)
+    assert found == [(100, 1, 5, "MIT"), (101, 2, 4, "GPL"), (102, 0, 3, "BSD"), (102, 3, 1, "MIT"), (103, 0, 3, "CC0"), (104, 0, 6, "GPL")]
+    assert all(r.confirmed for r in got)
+
+
 # --- 10 pseudo-likelihood -----------------------------------------------------
 
 def test_pseudo_likelihood(spark, docs, empty):
