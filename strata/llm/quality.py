@@ -10,16 +10,20 @@ determinant estimate for each language and source:
   roots of symbols, repeated lines and repeated words per word, each drawn
   towards the group's mean (or zero) by ``PRIOR_WORDS`` words, so that short
   texts do not stand out by chance;
-* the start is the coordinate-wise median and quartile spread; each C-step
-  takes the ``COVERAGE`` share of rows nearest by Mahalanobis distance and
-  estimates location and covariance anew from them;
+* three starts: the coordinate-wise median and quartile spread, mean and
+  covariance of all rows, and those of the rows within ``CENTRAL`` spreads of the
+  median; each C-step takes the ``COVERAGE`` share of rows nearest by Mahalanobis
+  distance and estimates location and covariance anew from them, until the
+  determinant falls no more; the start that ends with the least determinant counts;
 * scales have the floors ``FLOORS`` (a statistic that is zero in most texts
-  has no spread of its own); a row is an outlier above ``CUTOFF``.
+  has no spread of its own), small enough that each statistic can reject alone;
+  a row is an outlier above ``CUTOFF``, the chi-square quantile of ``USUAL``.
 
 Medians and the nearest share come from counts per fine bin, so a group with a
 third of all rows is summed map-side and never gathered.  The only collections
-are per text.  Groups with fewer than ``MIN_ROWS`` rows are pooled by language;
-a pool that is still smaller gives no verdict and its texts are kept.
+are per text.  Sources with fewer than ``MIN_ROWS`` passing rows are judged by the
+estimate of all rows of their language, and of languages with fewer by that of
+all rows; only a table with fewer in all gives no verdict and keeps its texts.
 
 Defined results: null and empty texts have no words and fail; null languages
 and sources are groups of their own; repeated rows count as often as they
@@ -38,21 +42,31 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 PRIOR_WORDS = 100
-FLOORS = (0.1, 0.05, 0.05, 0.1)
+FLOORS = (0.1, 0.04, 0.04, 0.04)
 COVERAGE = 0.75
-C_STEPS = 3
-CUTOFF = 40.0
+CENTRAL = 2.0
+FALLS = 1e-6  # a C-step counts if the logarithm of the determinant falls by more
+USUAL = 0.9999
 MIN_ROWS = 40
 P = len(FLOORS)
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _coverage_factor() -> float:
-    """Makes the covariance of the nearest COVERAGE share consistent for normal data (four dimensions)."""
+def _chi_square(share: float) -> float:
+    """The chi-square quantile for four degrees of freedom, by bisection."""
     low, high = 0.0, 100.0
-    for _ in range(200):  # chi-square quantile for four degrees of freedom by bisection
+    for _ in range(200):
         mid = (low + high) / 2
-        low, high = (mid, high) if 1 - math.exp(-mid / 2) * (1 + mid / 2) < COVERAGE else (low, mid)
+        low, high = (mid, high) if 1 - math.exp(-mid / 2) * (1 + mid / 2) < share else (low, mid)
+    return low
+
+
+CUTOFF = _chi_square(USUAL)
+
+
+def _coverage_factor() -> float:
+    """Makes the covariance of the nearest COVERAGE share consistent for normal data (four dimensions)."""
+    low = _chi_square(COVERAGE)
     return COVERAGE / (1 - math.exp(-low / 2) * (1 + low / 2 + low * low / 8))
 
 
@@ -118,24 +132,46 @@ def _group_quantiles(rows: DataFrame, keys: list[str], bin_col: str, shares: dic
         F.min(F.when(F.col("__cum") >= F.col("__all") * share, F.col(bin_col))).alias(name) for name, share in shares.items()])
 
 
+ESTIMATE = [*[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)]]
+
+
+def _estimated(near: DataFrame, keys: list[str], factor: float) -> DataFrame:
+    """Location and Cholesky factor of the covariance (times ``factor``, with the floors) of the rows of each key."""
+    sums = near.groupBy(*keys).agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)], *[
+        F.avg(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)])
+    cov = {(i, j): (F.col(f"c{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")) * factor + (FLOORS[i] ** 2 if i == j else 0.0)
+           for i in range(P) for j in range(i + 1)}
+    return _cholesky(sums, cov).select(*keys, *ESTIMATE)
+
+
+def _groups(spark: SparkSession, passing: DataFrame) -> DataFrame:
+    """(__lang, __source, grp, mean_length, grp_rows, judges): the groups that the rows of each source belong to.
+
+    A group is a source, a language or all rows; ``judges`` marks the smallest with MIN_ROWS rows, the one that judges the source.
+    """
+    totals = cut(spark, passing.groupBy("__lang", "__source").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("__stats.word_chars").alias("chars"), F.sum("__stats.n_words").alias("words")), "quality-totals")
+    lang, source = [F.col("__lang"), F.col("__lang").isNull()], [F.col("__source"), F.col("__source").isNull()]
+    grps = F.array(*[F.struct(F.lit(k).alias("level"), F.xxhash64(F.lit(k), *by).alias("grp")) for k, by in enumerate(([*lang, *source], lang, []))])
+    of = totals.select("*", F.explode(grps).alias("g")).select("__lang", "__source", "rows", "chars", "words", "g.*")
+    sums = of.groupBy("grp").agg((F.sum("chars") / F.sum("words")).alias("mean_length"), F.sum("rows").alias("grp_rows"))
+    of = of.join(sums, "grp")
+    enough = F.min(F.when((F.col("grp_rows") >= MIN_ROWS) | (F.col("level") == 2), F.col("level"))).over(Window.partitionBy("__lang", "__source"))
+    of = of.withColumn("judges", F.col("level") == enough)
+    needed = of.filter("judges").select("grp").distinct()
+    return cut(spark, of.join(needed, "grp").select("__lang", "__source", "grp", "mean_length", "grp_rows", "judges"), "quality-groups")
+
+
 def fit(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Estimates per group from (__lang, __source, __stats): one row with location, factor and pooling rule.
+    """Estimates per group from (__lang, __source, __stats): one row per source with location and factor of the group that judges it.
 
     ``rows`` is read several times and should be a written table.
     """
     passing = rows.filter(~F.col("__stats.base_failed"))
-    totals = cut(spark, passing.groupBy("__lang", "__source").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("__stats.word_chars").alias("chars"), F.sum("__stats.n_words").alias("words")), "quality-totals")
-    pooled = F.col("rows") < MIN_ROWS
-    groups = totals.select("__lang", "__source", pooled.alias("pooled"), F.when(~pooled, F.col("__source")).alias("grp_source"), "chars", "words", "rows")
-    means = groups.groupBy("__lang", "pooled", "grp_source").agg(
-        (F.sum("chars") / F.sum("words")).alias("mean_length"), F.sum("rows").alias("grp_rows"))
-    same = F.col("a.__lang").eqNullSafe(F.col("b.__lang")) & (F.col("a.pooled") == F.col("b.pooled")) & F.col("a.grp_source").eqNullSafe(F.col("b.grp_source"))
-    groups = cut(spark, groups.alias("a").join(means.alias("b"), same).select(
-        "a.__lang", "a.__source", F.xxhash64("a.__lang", F.col("a.__lang").isNull(), "a.pooled", "a.grp_source", F.col("a.grp_source").isNull()).alias("grp"),
-        "b.mean_length", "b.grp_rows"), "quality-groups")
+    groups = _groups(spark, passing)
     seen = vectors(passing, groups).filter(F.col("grp_rows") >= MIN_ROWS).select("grp", *[f"x{i}" for i in range(P)])
-    # start: medians and quartile spreads, from counts per bin of a quarter floor
+    seen = cut(spark, seen, "quality-vectors")
+    # medians and quartile spreads, from counts per bin of a quarter floor
     long = seen.select("grp", F.posexplode(F.array(*[F.floor(F.col(f"x{i}") / (FLOORS[i] / 4)) for i in range(P)])).alias("dim", "bin"))
     q = _group_quantiles(long, ["grp", "dim"], "bin", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
     floors = F.element_at(F.array(*[F.lit(f) for f in FLOORS]), F.col("dim") + 1)
@@ -143,22 +179,28 @@ def fit(spark: SparkSession, rows: DataFrame) -> DataFrame:
                      F.sqrt(F.pow((F.col("q3") - F.col("q1")) * floors / 4 / 1.349, 2) + floors * floors).alias("s"))
     params = start.groupBy("grp").agg(*[F.max(F.when(F.col("dim") == i, F.col("m"))).alias(f"m{i}") for i in range(P)],
                                       *[F.max(F.when(F.col("dim") == i, F.col("s"))).alias(f"l{i}{i}") for i in range(P)])
-    params = params.select("grp", *[f"m{i}" for i in range(P)], *[
-        (F.col(f"l{i}{i}") if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i in range(P) for j in range(i + 1)])
-    done = cut(spark, params, "quality-start")
-    factor = _coverage_factor()
-    for step in range(C_STEPS):
-        measured = seen.join(done, "grp").select("grp", *[f"x{i}" for i in range(P)], F.floor(F.log1p(distance()) * 64).alias("bin"))
-        edge = cut(spark, _group_quantiles(measured, ["grp"], "bin", {"edge": COVERAGE}), f"quality-edge-{step}")
-        near = measured.join(edge, "grp").filter(F.col("bin") <= F.col("edge"))
-        sums = near.groupBy("grp").agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(P)], *[
-            F.avg(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i in range(P) for j in range(i + 1)])
-        cov = {(i, j): (F.col(f"c{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")) * factor + (FLOORS[i] ** 2 if i == j else 0.0)
-               for i in range(P) for j in range(i + 1)}
-        previous, done = done, cut(spark, _cholesky(sums, cov).select(
-            "grp", *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)]), f"quality-step-{step}")
+    medians = cut(spark, params.select("grp", *[f"m{i}" for i in range(P)], *[
+        (F.col(f"l{i}{i}") if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i in range(P) for j in range(i + 1)]), "quality-medians")
+    central = seen.join(medians, "grp")
+    for i in range(P):
+        central = central.filter(F.abs(F.col(f"x{i}") - F.col(f"m{i}")) <= CENTRAL * F.col(f"l{i}{i}"))
+    starts = [medians, _estimated(seen, ["grp"], 1.0), _estimated(central.select(seen.columns), ["grp"], 1.0)]
+    starts = [x.select("grp", F.lit(k).alias("start"), *ESTIMATE, F.lit(math.inf).alias("size"), F.lit(True).alias("falls")) for k, x in enumerate(starts)]
+    done = cut(spark, starts[0].union(starts[1]).union(starts[2]), "quality-start")
+    factor, keys = _coverage_factor(), ["grp", "start"]
+    size = sum((2 * F.log(f"l{i}{i}") for i in range(1, P)), 2 * F.log("l00"))  # logarithm of the determinant
+    while done.filter("falls").limit(1).count():
+        measured = seen.join(done.filter("falls"), "grp").select(*keys, *[f"x{i}" for i in range(P)], F.floor(F.log1p(distance()) * 64).alias("bin"))
+        edge = cut(spark, _group_quantiles(measured, keys, "bin", {"edge": COVERAGE}), "quality-edge")
+        near = measured.join(edge, keys).filter(F.col("bin") <= F.col("edge"))
+        after = _estimated(near, keys, factor).withColumn("size", size).select(*keys, F.struct(*ESTIMATE, "size").alias("after"))
+        falls = F.coalesce(F.col("after.size") < F.col("size") - FALLS, F.lit(False))
+        both = done.join(after, keys, "left").withColumn("falls", falls)
+        previous, done = done, cut(spark, both.select(*keys, *[
+            F.when(F.col("falls"), F.col(f"after.{c}")).otherwise(F.col(c)).alias(c) for c in (*ESTIMATE, "size")], "falls"), "quality-step")
         drop_cut(spark, previous, edge)
-    return groups.join(done, "grp", "left")
+    best = done.groupBy("grp").agg(F.min(F.struct("size", "start", *ESTIMATE)).alias("b")).select("grp", *[f"b.{c}" for c in ESTIMATE])
+    return groups.filter("judges").join(best, "grp", "left").drop("judges")
 
 
 def vectors(rows: DataFrame, groups: DataFrame) -> DataFrame:

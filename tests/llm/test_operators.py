@@ -104,6 +104,21 @@ def test_quality_verdict_keeps_clean_and_rejects_junk(spark, docs, empty):
     assert quality.judge(spark, empty).count() == 0
 
 
+def test_quality_statistics_reject_alone_and_small_sources_are_judged(spark):
+    rng = np.random.default_rng(81)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), int(k))) for k in rng.integers(2, 9, 500)]
+    body = lambda n: list(rng.choice(vocabulary, n))
+    clean = [(i, " ".join(body(int(n))), "en", "s", 0) for i, n in enumerate(rng.integers(60, 400, 200))]
+    again = [" ".join(w + w[:12]) for w in (body(100) for _ in range(6))]
+    repeated = [(1000 + i, t, "en", "s", 0) for i, t in enumerate(again)]
+    junk = " | ".join(body(60))
+    small = [(2000, junk, "en", "tiny", 0), (2001, " ".join(body(100)), "en", "tiny", 0), (2002, junk, "xx", "other", 0), (2003, " ".join(body(100)), "xx", None, 0)]
+    judged = {r.doc_id: r for r in quality.judge(spark, spark.createDataFrame(clean + repeated + small, DOCS)).select("doc_id", "__quality.*").collect()}
+    assert all(judged[i].kept for i in range(200)) and not any(judged[1000 + i].base_failed or judged[1000 + i].kept for i in range(6))
+    assert [judged[i].kept for i in (2000, 2001, 2002, 2003)] == [False, True, False, True]
+    assert all(r.base_failed or r.distance is not None for r in judged.values())
+
+
 def test_quality_plan_is_native(spark, docs):
     plan = quality.statistics(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
