@@ -334,6 +334,19 @@ def test_main_text(spark):
         assert got[i].text == text and got[i].n_chars == len(text)
 
 
+def test_text_beside_hidden_elements_stays():
+    long, end = ("word " * 1000).strip(), ("closing " * 35).strip()
+    for hidden in ("<div class='ad'>buy</div>", "<aside>side</aside>", "<div class='newsletter-box'>join</div>" * 3):
+        assert html.main_text(f"<body><div><p>{long}</p>{hidden}<p>{end}</p>{hidden}<p>End.</p></div></body>") == f"{long}\n\n{end}\n\nEnd."
+    for mention in ("layout has-sidebar", "no-sidebar", "content-with-ads"):
+        assert html.main_text(f"<div class='{mention}'><article><p>a</p></article></div>") == "a"
+    for mark in ("sidebar", "site-footer", "x cookie-notice", "ad_slot_2"):
+        assert html.main_text(f"<article><p>a</p><div class='{mark}'>bad</div></article>") == "a"
+    assert html.main_text("<article><figure><img src=x><figcaption>seen</figcaption></figure><p>a</p></article>") == "seen\n\na"
+    assert html.main_text("<article><header><p>" + "lead " * 100 + "</p><h1>Head</h1></header><p>a</p></article>").endswith("lead\n\nHead\n\na")
+    assert html.main_text("<article><header><p>no heading</p></header><h1>Head</h1></article>") == "Head"
+
+
 # --- 9 licences ---------------------------------------------------------------
 
 def test_licence_scan(spark):
