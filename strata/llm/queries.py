@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, covertree, html, licenses, lm, minhash, mixing, quality, quotes, toxicity
+from strata.llm import bpe, covertree, html, licenses, lm, minhash, mixing, quality, quotes, spelling, toxicity
 from strata.llm.common import cut, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, spelling.corpus_words(read(spark, sf_dir, "documents", "doc_id", "text")))
