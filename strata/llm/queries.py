@@ -5,12 +5,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, covertree, html, licenses, lm, minhash, mixing, quality, quotes, spelling, toxicity
+from strata.llm import bpe, covertree, html, licenses, lm, minhash, mixing, packing, quality, quotes, spelling, toxicity
 from strata.llm.common import cut, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -105,3 +106,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spark, spelling.corpus_words(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, with_ids=False)
+    return packing.pack(spark, cut(spark, pieces, "packing-pieces"))
