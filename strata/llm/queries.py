@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import bpe, covertree, html, licenses, lm, minhash, mixing, packing, quality, quotes, spelling, toxicity
+from strata.llm import bpe, collocations, covertree, html, licenses, lm, minhash, mixing, packing, quality, quotes, spelling, toxicity
 from strata.llm.common import cut, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,58 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spark, spelling.corpus_words(read(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(spark, read(spark, sf_dir, "documents", "lang", "text"))
+
+
+ORACLES["op12_phrases"] = r"""
+WITH RECURSIVE pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')), '[^ 	]+') AS ws
+  FROM documents),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
+total AS (SELECT lang, count(*) AS n FROM places GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM places, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(ws)
+  GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, j, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f) // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j, string_split(phrase, ' ') AS w FROM grams WHERE k > 1) c
+  JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_phrases AS (
+  SELECT g.lang, array_to_string(string_split(g.phrase, ' ')[s.i:s.i + s.k - 1], ' ') AS phrase, max(g.f) AS most
+  FROM grams g JOIN (SELECT unnest([1, 2, 3, 1, 2]) AS i, unnest([2, 2, 2, 3, 3]) AS k) s ON s.i + s.k - 1 <= g.k AND s.k < g.k
+  GROUP BY ALL),
+ranked AS (
+  SELECT least.*, row_number() OVER (PARTITION BY least.lang ORDER BY score DESC, a DESC, least.phrase) AS rank
+  FROM least LEFT JOIN inner_phrases USING (lang, phrase) WHERE most IS NULL OR 100 * most < 80 * a),
+edges AS (
+  SELECT lang, phrase, array_to_string(string_split(phrase, ' ')[1:3], ' ') AS tail, array_to_string(string_split(phrase, ' ')[2:4], ' ') AS head,
+    string_split(phrase, ' ')[4] AS last
+  FROM grams WHERE k = 4),
+links AS (
+  SELECT o.lang, i.phrase AS before, o.phrase, o.last
+  FROM (SELECT lang, head, min(phrase) AS phrase FROM edges GROUP BY ALL HAVING count(*) = 1) i
+  JOIN (SELECT lang, tail, min(phrase) AS phrase, min(last) AS last FROM edges GROUP BY ALL HAVING count(*) = 1) o
+  ON i.lang = o.lang AND i.head = o.tail WHERE i.phrase <> o.phrase),
+walk AS (
+  SELECT lang, phrase AS start, phrase, phrase AS path, 0 AS place FROM edges WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM links)
+  UNION ALL
+  SELECT w.lang, w.start, l.phrase, w.path || ' ' || l.last, w.place + 1 FROM walk w JOIN links l ON l.lang = w.lang AND l.before = w.phrase),
+whole AS (SELECT lang, start, arg_max(path, place) AS path FROM walk GROUP BY ALL),
+paths AS (
+  SELECT e.lang, e.phrase, coalesce(whole.path, e.phrase) AS path
+  FROM edges e LEFT JOIN walk USING (lang, phrase) LEFT JOIN whole ON whole.lang = walk.lang AND whole.start = walk.start)
+SELECT r.lang, rank, r.phrase, a, l, r, n, score::BIGINT AS score, path
+FROM ranked r JOIN total USING (lang) LEFT JOIN paths p ON p.lang = r.lang AND p.phrase = r.phrase
+WHERE rank <= 2000"""
+
+
 @query
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
