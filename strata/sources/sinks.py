@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strata.sources.publish import Gate, current, publish, publish_table
 from strata.sources.tables import Layers
 
 
@@ -33,29 +34,44 @@ def write_table(
     partition_by: Sequence[str] | None = None,
     catalog: bool = False,
     fmt: str = "parquet",
-) -> None:
-    """Write ``df`` (full overwrite by default), optionally clustered (S3)."""
+    gate: Gate | None = None,
+) -> str:
+    """Write ``df``, optionally clustered (S3); returns where this write's rows lie.
+
+    ``overwrite`` publishes a new version: nothing changes for readers until the
+    rows are written and have passed ``gate`` (see ``publish``).  ``append`` adds
+    files to the newest version.
+    """
     out = clustered(df, clustered_fields) if clustered_fields else df
-    writer = out.write.mode(mode).format(fmt)
+    if mode == "overwrite":
+        return (publish_table if catalog else publish)(out, location, gate, fmt=fmt, partition_by=tuple(partition_by or ()))
+    if mode != "append":
+        raise ValueError(f"mode {mode!r}: overwrite or append")
+    if gate:
+        raise ValueError("an append is not staged, so it cannot be gated")
+    place = _newest_table(df.sparkSession, location) if catalog else current(df.sparkSession, location) or location
+    writer = out.write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if catalog:
-        writer.saveAsTable(location)
-    else:
-        writer.save(location)
+    writer.saveAsTable(place) if catalog else writer.save(place)
+    return place
+
+
+def _newest_table(spark: SparkSession, table: str) -> str:
+    """The table behind a published view, or the name itself."""
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW":
+        return spark.sql(f"SHOW CREATE TABLE {table}").first()[0].split("FROM ")[-1].strip()
+    return table
 
 
 def write_layer(df: DataFrame, layers: Layers, layer: str, table: str, **kwargs) -> str:
-    loc = layers.location(layer, table)
-    write_table(df, loc, catalog=layers.catalog, **kwargs)
-    return loc
+    return write_table(df, layers.location(layer, table), catalog=layers.catalog, **kwargs)
 
 
 def materialize(spark: SparkSession, df: DataFrame, location: str) -> DataFrame:
-    """Write ``df`` to ``location`` (shared storage) and read it back.
+    """Publish ``df`` at ``location`` (shared storage) and read it back.
 
     Cuts the lineage at a durable point: a lost executor after this only
     recomputes from the written files, not from the sources.
     """
-    df.write.mode("overwrite").parquet(location)
-    return spark.read.parquet(location)
+    return spark.read.schema(df.schema).parquet(publish(df, location))

@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.sources.publish import current
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -41,11 +43,14 @@ class Layers:
 def read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
     """Read a table by catalog name (``a.b``) or by path.
 
+    A published table (``strata.sources.publish``) is read as its newest version.
     Column pruning and filters reach the parquet scan because nothing here
     materialises the frame.
     """
-    if "/" in location or location.endswith(f".{fmt}"):
+    if location.endswith(f".{fmt}"):
         return spark.read.format(fmt).load(location)
+    if "/" in location:
+        return spark.read.format(fmt).load(current(spark, location) or location)
     return spark.read.table(location)
 
 
