@@ -12,8 +12,9 @@
 * T4 the result is served from a table on shared storage: every micro-batch
   writes the keys it touched to ``<sink>/batch=<id>`` (overwrite, so a replayed
   batch replaces itself), and readers resolve the latest row per key again,
-  which is idempotent.  ``compact_latest`` folds finished batches into a
-  snapshot so reads stay proportional to the keyspace, not to the history.
+  which is idempotent.  The running query folds finished batches into published
+  snapshots (``compact_latest``) and retires both, so reads and folders stay
+  proportional to the keyspace, not to the history.
 * T3 ``enriched`` joins the served rows to the dimension *at read time*, so a
   refreshed dimension is always seen, as with a view.
 """
@@ -23,43 +24,49 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.functions import json_double, json_scalar, json_timestamp, pad_id_unguarded
-from strata.functions.casts import text_to_long
+from strata.functions import pad_id_unguarded
+from strata.functions.casts import text_to_double, text_to_long
+from strata.functions.jsonfields import text_to_timestamp, variant_scalar, with_variant
 from strata.operators.star import enrich
+from strata.sources import files
+from strata.sources.publish import PublishConflict, current, publish, tag, versions
 
 STATE_COL = "__latest"
+COMPACT_EVERY = 20     # micro-batches between two snapshots
 
 
 def parse_measurements(messages: DataFrame, value_col: str = "data",
                        arrival_col: str = "publish_time") -> DataFrame:
     """The typed measurement of each message plus its arrival time.
 
-    Scalar JSON semantics: an object where a scalar is expected gives NULL;
-    malformed JSON gives NULLs; bad numbers or timestamps give NULL instead of
-    failing the whole stream.  ``_rejected`` marks messages that are no
-    JSON, or whose event time or year is there but cannot be read, for a reject
-    sink; absent values are NULL and stay.  The id is padded without
-    trimming, as the original view did.
+    Each message is parsed once, into a variant.  Scalar JSON semantics: an
+    object where a scalar is expected gives NULL; malformed JSON gives NULLs;
+    bad numbers or timestamps give NULL instead of failing the whole stream.
+    ``_rejected`` marks messages that are no JSON, or whose event time or year
+    is there but cannot be read, for a reject sink; absent values are NULL and
+    stay.  The id is padded without trimming, as the original view did.
     """
-    v = F.col(value_col)
-    when, year = json_scalar(v, "$.event_timestamp"), json_scalar(v, "$.ano")
+    raw = F.col(f"`{value_col}`")
+    fields = with_variant(messages.select(raw.alias("__data"), F.col(f"`{arrival_col}`").alias("_ingestao_stream")), "__data", "__json")
+    names = ["evento_id", "event_timestamp", "tipo_evento", "ano", "id_municipio", "rede", "taxa_alfabetizacao", "media_portugues", "fonte"]
+    texts = fields.select("__data", "__json", "_ingestao_stream", *[variant_scalar("__json", f"$.{n}").alias(n) for n in names])
+    typed = texts.withColumns({"__when": text_to_timestamp(F.col("event_timestamp")), "__year": text_to_long("ano")})
     # an absent value is NULL and stays in the view; text that is there but cannot be read is rejected
-    unread = ((when.isNotNull() & json_timestamp(v, "$.event_timestamp").isNull()) | (year.isNotNull() & text_to_long(year).isNull())
-              | (v.isNotNull() & F.get_json_object(v, "$").isNull()))
-    out = messages.select(
-        json_scalar(v, "$.evento_id").alias("evento_id"),
-        json_timestamp(v, "$.event_timestamp").alias("event_timestamp"),
-        json_scalar(v, "$.tipo_evento").alias("tipo_evento"),
-        text_to_long(year).alias("ano"),
-        pad_id_unguarded(json_scalar(v, "$.id_municipio"), 7, trim=False).alias("id_municipio"),
-        json_scalar(v, "$.rede").alias("rede"),
-        json_double(v, "$.taxa_alfabetizacao").alias("taxa_alfabetizacao"),
-        json_double(v, "$.media_portugues").alias("media_portugues"),
-        json_scalar(v, "$.fonte").alias("fonte"),
-        F.col(arrival_col).alias("_ingestao_stream"),
+    unread = ((F.col("event_timestamp").isNotNull() & F.col("__when").isNull()) | (F.col("ano").isNotNull() & F.col("__year").isNull())
+              | (F.col("__data").isNotNull() & F.col("__json").isNull()))
+    return typed.select(
+        "evento_id",
+        F.col("__when").alias("event_timestamp"),
+        "tipo_evento",
+        F.col("__year").alias("ano"),
+        pad_id_unguarded("id_municipio", 7, trim=False).alias("id_municipio"),
+        "rede",
+        text_to_double("taxa_alfabetizacao").alias("taxa_alfabetizacao"),
+        text_to_double("media_portugues").alias("media_portugues"),
+        "fonte",
+        "_ingestao_stream",
         unread.alias("_rejected"),
     )
-    return out
 
 
 def latest_per_key_stream(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -83,12 +90,23 @@ def resolve_latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 
 
 def start_latest_stream(source: DataFrame, keys: Sequence[str], order: Sequence[str], sink_path: str,
-                        checkpoint: str, available_now: bool = True, query_name: str | None = None):
-    """T2 + T4: start the stateful query writing touched keys per micro-batch."""
+                        checkpoint: str, available_now: bool = True, query_name: str | None = None,
+                        compact_every: int | None = COMPACT_EVERY):
+    """T2 + T4: start the stateful query writing touched keys per micro-batch.
+
+    Every ``compact_every`` batches the query folds the finished ones into a
+    snapshot and retires what no reader needs any more, so the number of
+    folders stays bounded however long it runs (None: never).
+    """
     state = latest_per_key_stream(source, keys, order)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         unpack(batch, keys).write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            try:
+                compact_latest(batch.sparkSession, sink_path, keys, order)
+            except PublishConflict:   # someone else has just made a snapshot
+                pass
 
     writer = (state.writeStream.outputMode("update")
               .option("checkpointLocation", checkpoint)
@@ -100,63 +118,57 @@ def start_latest_stream(source: DataFrame, keys: Sequence[str], order: Sequence[
 
 
 def _snapshot_root(sink_path: str) -> str:
+    """A published table; each version is tagged with the last batch it holds."""
     return sink_path.rstrip("/") + "_snapshots"
 
 
-def _mark_root(sink_path: str) -> str:
-    """One row per snapshot whose write has committed; files of others are never read."""
-    return sink_path.rstrip("/") + "_snapshot_marks"
+def _batches(spark: SparkSession, sink_path: str) -> list[int]:
+    return sorted(int(n[6:]) for n in files.names(spark, sink_path) if n.startswith("batch=") and n[6:].isdigit())
 
 
-def _latest_snapshot(spark: SparkSession, sink_path: str) -> int | None:
-    """Greatest ``upto`` of a finished snapshot (a one-row aggregate, not data)."""
-    from pyspark.errors import AnalysisException
-    try:
-        marks = spark.read.schema("upto long").parquet(_mark_root(sink_path))
-    except AnalysisException:
-        return None
-    return marks.agg(F.max("upto")).first()[0]
+def _rows_after(spark: SparkSession, sink_path: str, snapshot: str | None, upto: int | None = None) -> DataFrame:
+    """The snapshot's rows and those of the batches after it (up to ``upto``); retired folders are not even listed."""
+    base = sink_path.rstrip("/")
+    after = -1 if snapshot is None else tag(snapshot)
+    folders = [f"{base}/batch={b}" for b in _batches(spark, base) if b > after and (upto is None or b <= upto)]
+    if snapshot is None:
+        return (spark.read.parquet(*folders) if folders else spark.read.parquet(base)).drop("batch")
+    held = spark.read.parquet(snapshot)
+    return held.unionByName(spark.read.schema(held.schema).parquet(*folders)) if folders else held
 
 
 def read_latest(spark: SparkSession, sink_path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """T4: the served view — latest row per key over every batch written so far.
 
-    With a snapshot from ``compact_latest``, only the snapshot and the batches
-    after it are read (partition pruning on ``batch``).
+    Only the newest snapshot and the batches after it are read.  Both stay while one more snapshot is made, so a
+    reader may take as long as that.
     """
-    rows = spark.read.parquet(sink_path)
-    upto = _latest_snapshot(spark, sink_path)
-    if upto is not None:
-        snap = spark.read.parquet(_snapshot_root(sink_path)).filter(F.col("upto") == upto).drop("upto")
-        rows = rows.filter(F.col("batch") > upto).drop("batch").unionByName(snap)
-    else:
-        rows = rows.drop("batch")
-    return resolve_latest(rows, keys, order)
+    return resolve_latest(_rows_after(spark, sink_path, current(spark, _snapshot_root(sink_path))), keys, order)
 
 
 def compact_latest(spark: SparkSession, sink_path: str, keys: Sequence[str], order: Sequence[str]) -> int | None:
-    """Fold finished batches into one snapshot (``<sink>_snapshots/upto=N``).
+    """Fold finished batches into a new snapshot; retire what the one before it made needless.
 
     Safe while the stream runs: the newest batch folder may still be in flight
-    (or be replayed after a failure), so N is one below it — micro-batches
-    commit in order, so every batch below the newest is final.  Batches after N
-    stay visible to readers, who switch to the snapshot once its mark is there,
-    which is written after the snapshot has committed.  Returns N, or None when there is nothing final to fold.
+    (or be replayed after a failure), so the snapshot ends one below it —
+    micro-batches commit in order, so every batch below the newest is final.
+    Readers switch when the snapshot is published.  Batches and snapshots go
+    once two published snapshots are newer or hold them.  Returns the
+    snapshot's last batch, or None when there is nothing final to fold.
     """
-    batches = spark.read.parquet(sink_path)
-    newest = batches.agg(F.max("batch")).first()[0]
-    if newest is None or newest < 1:
+    batches = _batches(spark, sink_path)
+    if len(batches) < 2 and (not batches or batches[0] < 1):
         return None
-    upto = newest - 1
-    prior = _latest_snapshot(spark, sink_path)
-    if prior is not None and prior >= upto:
-        return prior
-    done = batches.filter(F.col("batch") <= upto).drop("batch")
-    if prior is not None:
-        snap = spark.read.parquet(_snapshot_root(sink_path)).filter(F.col("upto") == prior).drop("upto")
-        done = batches.filter((F.col("batch") > prior) & (F.col("batch") <= upto)).drop("batch").unionByName(snap)
-    resolve_latest(done, keys, order).write.mode("overwrite").parquet(f"{_snapshot_root(sink_path)}/upto={upto}")
-    spark.range(upto, upto + 1, 1, 1).select(F.col("id").alias("upto")).write.mode("append").parquet(_mark_root(sink_path))
+    root, upto = _snapshot_root(sink_path), batches[-1] - 1
+    prior = current(spark, root)
+    if prior is not None and tag(prior) >= upto:
+        return tag(prior)
+    publish(resolve_latest(_rows_after(spark, sink_path, prior, upto), keys, order), root, tagged=upto, expect=prior)
+    oldest = tag(versions(spark, root)[0])
+    if len(versions(spark, root)) > 1:      # readers of the older snapshot need the batches after it
+        for batch in batches:
+            if batch <= oldest:
+                files.remove(spark, f"{sink_path.rstrip('/')}/batch={batch}")
     return upto
 
 

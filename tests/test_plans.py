@@ -44,3 +44,14 @@ def test_no_python_udfs_anywhere(spark):
     for name in ["event_parse", "label_normalise", "measure_cast", "quality_report"]:
         plan = final_plan(spark, name)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+@pytest.mark.parametrize("only_accepted", [False, True])
+def test_a_message_is_parsed_once(spark, only_accepted):
+    from strata.plans.catalog.envelope import message
+    from strata.streaming.views import accepted, parse_measurements
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    messages = events.select(message().alias("data"), events.ts.alias("publish_time"))
+    typed = accepted(messages) if only_accepted else parse_measurements(messages)
+    plan = typed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1 and "get_json_object" not in plan
