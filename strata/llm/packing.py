@@ -21,6 +21,7 @@ keys may trade places.  Texts may be of any length.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -36,13 +37,40 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 400_000     # split matches whose ids a Python worker remembers
-MATCHES = 1 << 16   # matches of a text that are looked up at a time
+CACHE = 600_000     # split matches whose ids a Python worker remembers
+WHOLE = 1 << 20     # characters of a text whose matches are listed at once
 
 
 # -- tokens --------------------------------------------------------------
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself where it prints, else the next one from 256 on."""
+    prints = [*range(ord("!"), ord("~") + 1), *range(ord("\xa1"), ord("\xac") + 1), *range(ord("\xae"), 256)]
+    others = (b for b in range(256) if b not in prints)
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Matches(dict):
+    """Match of the split pattern -> its ids as little-endian unsigned 32-bit integers, found once and remembered."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, byte_letters()
+        first = str(tokenizer.pre_tokenizer)
+        self.plain = tokenizer.normalizer is None and first.startswith("ByteLevel(") and "add_prefix_space=False" in first
+
+    def __missing__(self, match: str) -> bytes:
+        if self.plain:  # the model alone: bytes as letters, then its merges
+            ids = [t.id for t in self.model.tokenize(match.encode().decode("latin-1").translate(self.letters))]
+        else:
+            ids = self.tokenizer.encode(match, add_special_tokens=False).ids
+        if len(self) >= CACHE:
+            self.clear()
+        self[match] = out = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+
 class Encoder:
-    """Ids by the tokenizers library; a match of the split pattern is encoded once and remembered.
+    """Ids by the tokenizers library.
 
     The file's own first step splits by the same pattern, so a text's ids are its matches' ids in order.
     """
@@ -50,31 +78,17 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
+        self.ids_of = Matches(tokenizer).__getitem__
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        matches, out = (m.group() for m in self.pattern.finditer(text)), []
-        if len(text) <= MATCHES:
-            matches = iter(self.pattern.findall(text))
-        while some := list(islice(matches, MATCHES)):
-            found = [self.known.get(m) for m in some]
-            if None in found:
-                new = {m for m, ids in zip(some, found) if ids is None}
-                if len(self.known) + len(new) > CACHE:
-                    self.known.clear()
-                    new = set(some)
-                self._learn(list(new))
-                found = [self.known[m] for m in some]
-            out.append(b"".join(found))
-        return b"".join(out)
-
-    def _learn(self, matches: list[str]) -> None:
-        for match, encoded in zip(matches, self.tokenizer.encode_batch(matches, add_special_tokens=False)):
-            self.known[match] = np.array(encoded.ids, dtype="<u4").tobytes()
+        if len(text) <= WHOLE:
+            return b"".join(map(self.ids_of, self.pattern.findall(text)))
+        matches = (m.group() for m in self.pattern.finditer(text))
+        return b"".join(iter(lambda: b"".join(map(self.ids_of, islice(matches, 1 << 16))), b""))
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}  # one per Python worker and vocabulary
