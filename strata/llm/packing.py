@@ -37,8 +37,10 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 600_000     # split matches whose ids a Python worker remembers
+CACHE = 1_000_000   # matches whose ids a Python worker remembers
 WHOLE = 1 << 20     # characters of a text whose matches are listed at once
+# Fixed value: the split of byte-level vocabularies, its commonest alternative first
+SPLIT = r" ?\p{L}+| ?\p{N}+|'(?:[stmd]|re|ve|ll)| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 # -- tokens --------------------------------------------------------------
@@ -49,20 +51,15 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-class Matches(dict):
-    """Match of the split pattern -> its ids as little-endian unsigned 32-bit integers, found once and remembered."""
+class Known(dict):
+    """Match of the split -> its ids as little-endian unsigned 32-bit integers, found once and remembered."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, model):
         super().__init__()
-        self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, byte_letters()
-        first = str(tokenizer.pre_tokenizer)
-        self.plain = tokenizer.normalizer is None and first.startswith("ByteLevel(") and "add_prefix_space=False" in first
+        self.model, self.letters = model, byte_letters()
 
     def __missing__(self, match: str) -> bytes:
-        if self.plain:  # the model alone: bytes as letters, then its merges
-            ids = [t.id for t in self.model.tokenize(match.encode().decode("latin-1").translate(self.letters))]
-        else:
-            ids = self.tokenizer.encode(match, add_special_tokens=False).ids
+        ids = [t.id for t in self.model.tokenize(match.encode().decode("latin-1").translate(self.letters))]
         if len(self) >= CACHE:
             self.clear()
         self[match] = out = struct.pack(f"<{len(ids)}I", *ids)
@@ -70,34 +67,41 @@ class Matches(dict):
 
 
 class Encoder:
-    """Ids by the tokenizers library.
+    """Ids by the tokenizers library; equal to encoding the whole text, but equal matches are encoded once.
 
-    The file's own first step splits by the same pattern, so a text's ids are its matches' ids in order.
+    A byte-level file first splits a text by ``SPLIT`` and merges within a match;
+    any other file encodes whole texts.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pattern = regex.compile(pattern)
-        self.ids_of = Matches(tokenizer).__getitem__
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.split = regex.compile(SPLIT)
+        first = str(self.tokenizer.pre_tokenizer)
+        self.byte_level = (self.tokenizer.normalizer is None and first.startswith("ByteLevel(")
+                           and "add_prefix_space=False" in first and "use_regex=True" in first)
+        self.ids_of = Known(self.tokenizer.model).__getitem__
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        if not self.byte_level:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         if len(text) <= WHOLE:
-            return b"".join(map(self.ids_of, self.pattern.findall(text)))
-        matches = (m.group() for m in self.pattern.finditer(text))
+            return b"".join(map(self.ids_of, self.split.findall(text)))
+        matches = (m.group() for m in self.split.finditer(text))
         return b"".join(iter(lambda: b"".join(map(self.ids_of, islice(matches, 1 << 16))), b""))
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}  # one per Python worker and vocabulary
+_ENCODERS: dict[str, Encoder] = {}  # one per Python worker and vocabulary
 
 
-def encoder(path: str, pattern: str) -> Encoder:
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(path, pattern)
-    return _ENCODERS[path, pattern]
+def encoder(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -106,7 +110,7 @@ def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(start, capacity) for start in range(first, length, capacity)]
 
 
-def token_pieces(docs: DataFrame, path: str, pattern: str, keys: tuple[str, ...] = ("doc_id",), text: str = "text",
+def token_pieces(docs: DataFrame, path: str, keys: tuple[str, ...] = ("doc_id",), text: str = "text",
                  capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """The keys and piece, start, length, ids_crc32 (and ids) of every piece of every text."""
     needed = docs.select(*[F.col(f"`{k}`") for k in keys], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
@@ -116,7 +120,7 @@ def token_pieces(docs: DataFrame, path: str, pattern: str, keys: tuple[str, ...]
                          *([StructField("ids", ArrayType(LongType()))] if with_ids else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, pattern)
+        coder = encoder(path)
         names = [f.name for f in schema.fields]
         for batch in batches:
             rows, piece, start, length, crc, ids = [], [], [], [], [], []

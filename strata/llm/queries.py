@@ -117,7 +117,8 @@ ORACLES["op12_phrases"] = r"""
 WITH RECURSIVE pieces AS (
   SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')), '[^ 	]+') AS ws
+-
+]')), '[^ 	]+') AS ws
   FROM documents),
 places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
 total AS (SELECT lang, count(*) AS n FROM places GROUP BY lang),
@@ -164,5 +165,5 @@ WHERE rank <= 2000"""
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, with_ids=False)
+    pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), with_ids=False)
     return packing.pack(spark, cut(spark, pieces, "packing-pieces"))
