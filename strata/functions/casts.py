@@ -13,14 +13,17 @@ from pyspark.sql.types import NumericType, StringType
 
 from strata.functions.util import as_col
 
-# integer text, or decimal text whose fraction is cut off, as a cast without ANSI mode reads it
-INT_TEXT = r"^[+-]?[0-9]+(\.[0-9]*)?$"
+# what a cast takes off both ends of number text: control characters and spaces, no other white space
+EDGES = "".join(map(chr, range(0x21)))
+DELETE = "\x7f"       # also taken off integer text
+# integer text, or decimal text whose fraction is cut off, as a cast without ANSI mode reads it ('.5' is 0)
+INT_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]*)$"
 # plain decimal / scientific text, or the special values both engines read
 DECIMAL_TEXT = r"^([+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity)|(?i:nan))$"
 
 
 def text_to_int(col) -> Column:
-    """Trimmed number text -> int, its fraction cut off (``'1.7'`` is 1); anything else -> NULL."""
+    """Number text -> int, its fraction cut off (``'1.7'`` is 1, ``'-.5'`` is 0); anything else -> NULL."""
     return _whole_number(col, "int")
 
 
@@ -29,13 +32,14 @@ def text_to_long(col) -> Column:
 
 
 def _whole_number(col, to: str) -> Column:
-    text = F.trim(as_col(col).cast("string"))
-    return F.when(text.rlike(INT_TEXT), F.regexp_extract(text, r"^([+-]?[0-9]+)", 1).try_cast(to))
+    text = F.btrim(as_col(col).cast("string"), F.lit(EDGES + DELETE))
+    whole = F.when(text.rlike("^[+-]?[0-9]"), F.regexp_extract(text, r"^([+-]?[0-9]+)", 1)).otherwise(F.lit("0"))
+    return F.when(text.rlike(INT_TEXT), whole.try_cast(to))
 
 
 def text_to_double(col) -> Column:
-    """Trimmed decimal text -> double; anything else -> NULL."""
-    text = F.trim(as_col(col).cast("string"))
+    """Decimal text -> double; anything else -> NULL."""
+    text = F.btrim(as_col(col).cast("string"), F.lit(EDGES))
     return F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
 
 

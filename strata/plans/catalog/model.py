@@ -20,13 +20,12 @@ from strata.functions import (
 )
 from strata.operators.dedup import latest_per_key
 from strata.operators.reshape import key_universe as _key_universe
-from strata.operators.reshape import (pair_universe, reconcile, reconcile_summary, stack_by_name, targets_by_year,
-                                      unpivot_columns)
+from strata.operators.reshape import pair_universe, reconcile, reconcile_summary, unpivot_columns
 from strata.operators.star import distinct_projection, enrich, orphan_summary
 from strata.plans.catalog.cleaning import STATUS_LABELS
 from strata.plans.catalog.registry import register
 from strata.session import shared_path
-from strata.sources import TableSet, years_between
+from strata.sources import TableSet, files, read_table, write_table, years_between
 
 # --- Fixed values: horizon of the wide target layout ---------------------------
 YEARS = list(range(1995, 2002))       # seven target years, like 2024..2030
@@ -76,30 +75,20 @@ def level_totals(t: TableSet) -> DataFrame:
     )
 
 
-LEVELS = ("world", "region", "nation")
-
-
-def wide_targets(totals: DataFrame) -> list[DataFrame]:
-    """One wide table per level: ``target_1995 .. target_2001`` (NULL when y <= ref_year)."""
+def wide_targets(totals: DataFrame) -> DataFrame:
+    """Wide targets of all levels: ``target_1995 .. target_2001`` (NULL when y <= ref_year)."""
     base = totals.select("level", "place_id", "priority_label", "ref_year", mean_of_cents("s", "c").alias("base"))
-    wide = base.select(
+    return base.select(
         "level", "place_id", "priority_label", "ref_year",
         *[F.when(F.lit(y) > F.col("ref_year"),
                  F.col("base") + F.lit(TARGET_STEP) * (F.lit(y) - F.col("ref_year"))).alias(f"target_{y}")
           for y in YEARS])
-    return [wide.filter(F.col("level") == lv) for lv in LEVELS]
 
 
 def long_targets(totals: DataFrame) -> DataFrame:
-    """R1 per level, then U3 (union by name).
-
-    All levels come from the same grouping-sets plan: the pre-aggregated
-    facts are shuffled once and reused, and Catalyst pushes each level's
-    filter below the grouping-sets aggregation, so each level aggregates only
-    its own expanded rows."""
+    """One generator makes the level and year cells from one aggregate, so the facts are joined and summed once."""
     ids = ["level", "place_id", "priority_label", "ref_year"]
-    return stack_by_name([unpivot_columns(w, ids, {y: f"target_{y}" for y in YEARS}, "target_year", "target_value")
-                          for w in wide_targets(totals)])
+    return unpivot_columns(wide_targets(totals), ids, {y: f"target_{y}" for y in YEARS}, "target_year", "target_value")
 
 
 def priority_dimension(t: TableSet) -> DataFrame:
@@ -150,7 +139,7 @@ dp AS (
 SELECT level, place_id, priority_label, ref_year, target_year, target_value FROM lt
 """)
 def unpivot_measures(spark, sf_dir):
-    """R1 + U3: wide yearly targets of three levels -> one long table, NULLs dropped."""
+    """Wide yearly targets of three levels -> one long table, NULLs dropped."""
     t = TableSet(spark, sf_dir)
     return long_targets(level_totals(t))
 
@@ -236,29 +225,36 @@ def latest_per_key_query(spark, sf_dir):
 def results_shape(t: TableSet) -> DataFrame:
     """G9 on TPC-H: indicator vs latest target for the year and for the final year.
 
-    The indicator is the nation level of the same one-pass ``level_totals``
-    that feeds the targets, so orders are scanned and shuffled once.
+    Indicator and targets are cells of one generator over the nation totals, and
+    meet again by grouping on (place, code): nothing is joined to itself.  A
+    group holds at most one indicator per year and label and one target per year.
     """
-    totals = level_totals(t)
-    indicator = (totals.filter(F.col("level") == "nation")
-                 .select(F.col("ref_year").alias("year"), "place_id",
-                         F.substring("priority_label", 1, 1).alias("priority_code"),
-                         mean_of_cents("s", "c").alias("actual"), F.col("c").alias("n_orders")))
+    totals = level_totals(t).filter(F.col("level") == "nation")
+    base = totals.select("place_id", "priority_label", "ref_year", "c", mean_of_cents("s", "c").alias("base"))
+    target = lambda y: F.when(F.lit(y) > F.col("ref_year"), F.col("base") + F.lit(TARGET_STEP) * (F.lit(y) - F.col("ref_year")))
+    cell = lambda year, value, n: F.struct(year.alias("year"), value.alias("value"), n.alias("n"))
+    none = F.lit(None).cast("bigint")
+    cells = base.select("place_id", "priority_label", "ref_year", F.inline(F.array(
+        cell(F.col("ref_year"), F.col("base"), F.col("c")), *[cell(F.lit(y), target(y), none) for y in YEARS])))
+    cells = cells.filter("value IS NOT NULL OR n IS NOT NULL")
+    measured = F.col("n").isNotNull()
+    # Targets get their code by label, indicators carry their own
+    coded = enrich(cells, priority_dimension(t), "priority_label", "left").withColumn(
+        "priority_code", F.when(measured, F.substring("priority_label", 1, 1)).otherwise(F.col("priority_code")))
+    # Latest reference year per (place, code, target year); every indicator stays
+    latest = latest_per_key(coded.withColumn("own", F.when(measured, F.col("priority_label"))),
+                            ["place_id", "priority_code", "year", "own"], "ref_year")
+    entry = F.struct("year", "value")
+    groups = latest.groupBy("place_id", "priority_code").agg(
+        F.collect_list(F.when(measured, F.struct("year", F.col("value").alias("actual"), F.col("n").alias("n_orders")))).alias("facts"),
+        F.map_from_entries(F.collect_list(F.when(~measured & F.col("priority_code").isNotNull(), entry))).alias("targets"))
+    facts = groups.select("place_id", "priority_code", "targets", F.inline("facts")).withColumns({
+        "target_for_year": F.col("targets")[F.col("year")], "target_final": F.col("targets")[F.lit(FINAL_YEAR)]})       # W3
     nation_dim = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"),
                                "left").select(
         F.col("n_nationkey").cast("string").alias("place_id"),
         F.col("n_name").alias("nation_name"), F.col("r_name").alias("region_name"))
-    # Latest reference year per (level, place, code, target year), nation level only
-    latest = latest_per_key(
-        labelled_targets(t, totals).filter(F.col("level") == "nation"),
-        ["level", "place_id", "priority_code", "target_year"], "ref_year")
-    # the latest targets of a place and label in one row (seven years at most), joined once
-    horizon = targets_by_year(latest, ["place_id", "priority_code"], "target_year", "target_value")
-    joined = (enrich(indicator, nation_dim, "place_id")
-              .join(priority_dimension(t), "priority_code", "left")
-              .join(horizon, ["place_id", "priority_code"], "left")
-              .withColumns({"target_for_year": F.col("targets")[F.col("year")],
-                            "target_final": F.col("targets")[F.lit(FINAL_YEAR)]}))       # W3
+    joined = enrich(facts, nation_dim, "place_id").join(priority_dimension(t), "priority_code", "left")
     return joined.select(
         "year", "place_id", "nation_name", "region_name", "priority_code", "priority_label",
         "actual", "n_orders", "target_for_year",
@@ -411,8 +407,27 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
 """)
 def layout_write(spark, sf_dir):
     """S2 + S3: overwrite a clustered copy on shared storage and read it back."""
-    from strata.sources import write_table
     orders = TableSet(spark, sf_dir).orders
     path = shared_path(spark, "layout_write", unique=True)
     write_table(orders, path, clustered_fields=["o_orderdate", "o_custkey"])
-    return spark.read.parquet(path)
+    files.remove_at_exit(spark, path)
+    return read_table(spark, path)
+
+
+@register("reconcile_all", """
+WITH a AS (SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders),
+b AS (SELECT o_custkey, o_orderstatus, CASE WHEN o_orderkey % 10 = 0 THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority
+      FROM orders WHERE o_orderkey % 7 <> 0
+      UNION ALL SELECT o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 11 = 0)
+SELECT 'only_in_a' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) x
+UNION ALL
+SELECT 'only_in_b' AS side, * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) y
+""")
+def reconcile_all(spark, sf_dir):
+    """U4: EXCEPT ALL both ways, over rows that repeat."""
+    columns = ["o_custkey", "o_orderstatus", "o_orderpriority"]
+    orders = TableSet(spark, sf_dir).orders
+    k = F.col("o_orderkey")
+    moved = orders.withColumn("o_orderpriority", F.when(k % 10 == 0, F.lit("1-URGENT")).otherwise(F.col("o_orderpriority")))
+    changed = moved.filter(k % 7 != 0).select(*columns).unionAll(orders.filter(k % 11 == 0).select(*columns))
+    return reconcile(orders.select(*columns), changed, keep_duplicates=True)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.functions import json_int
 from strata.session import shared_path
-from strata.sources import TableSet
+from strata.sources import TableSet, files
 from strata.streaming import enriched, read_latest, start_latest_stream
 from strata.streaming.measurements import resolve_latest
 from strata.plans.catalog.registry import register
@@ -43,6 +43,7 @@ def run_event_stream(spark: SparkSession, events_path: str) -> DataFrame:
     run = shared_path(spark, "streams", "events_latest", unique=True)
     query = start_latest_stream(source, EVENT_KEYS, EVENT_ORDER, f"{run}/table", f"{run}/checkpoint")
     query.awaitTermination()
+    files.remove_at_exit(spark, run)
     try:
         return read_latest(spark, f"{run}/table", EVENT_KEYS, EVENT_ORDER).select(*OUTPUT)
     except AnalysisException:      # no file, so no micro-batch and no table

@@ -1,3 +1,4 @@
+from strata.sources import files, publish
 from strata.sources.bronze import ingest, stamp
 from strata.sources.landing import landed_messages
 from strata.sources.ranges import year_range, years_between

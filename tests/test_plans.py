@@ -55,3 +55,17 @@ def test_a_message_is_parsed_once(spark, only_accepted):
     typed = accepted(messages) if only_accepted else parse_measurements(messages)
     plan = typed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1 and "get_json_object" not in plan
+
+
+@pytest.mark.parametrize("name", ["unpivot_measures", "label_join", "fato_resultados_shape"])
+def test_facts_are_joined_and_summed_once(spark, name):
+    """Without automatic broadcasts: one join to customer, one aggregate for all levels and years."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"FileScan parquet \[c_custkey", plan)) == 1
+    assert len(re.findall(r"\bExpand \[", plan)) <= 1
+    assert "Union" not in plan

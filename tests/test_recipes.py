@@ -279,3 +279,42 @@ def test_cli_runs_selected_steps_against_renamed_layers(spark, tmp_path):
     import pytest as _pytest
     with _pytest.raises(SystemExit):
         medallion.main(["--root", str(tmp_path), "--layer", "nope=x"])
+
+
+def _raw_tables(spark, root):
+    """The fixture tables as delivered, without the columns that the bronze copy adds."""
+    frames = {n: df.drop("_ingestao_timestamp", "_fonte") for n, df in fx.bronze_tables(spark).items()}
+    frames["dicionario"] = spark.createDataFrame([("rede", "2", "Estadual")], "coluna string, chave string, valor string")
+    for name, df in frames.items():
+        df.write.parquet(f"{root}/raw/{name}")
+    spark.createDataFrame(fx.DIRECTORY, fx.DIRECTORY_SCHEMA).write.parquet(f"{root}/directory")
+
+
+def test_main_runs_from_raw_tables_to_gold_and_an_orphan_stops_it(spark, tmp_path, capsys):
+    from strata.plans import medallion
+    root = str(tmp_path)
+    _raw_tables(spark, root)
+    args = ["--root", f"{root}/lake", "--raw", f"{root}/raw", "--directory", f"{root}/directory"]
+    medallion.main(args)
+    printed = capsys.readouterr().out
+    assert all(f"{step} " in printed for step in medallion.STEPS) and "gold_integrity stored" in printed
+    lay = Layers(root=f"{root}/lake")
+    copy = read_layer(spark, lay, "bronze", "dicionario")
+    assert copy.columns == ["coluna", "chave", "valor", "_ingestao_timestamp", "_fonte"]
+    assert copy.first()._fonte == "basedosdados.br_inep_avaliacao_alfabetizacao.dicionario"
+    assert read_layer(spark, lay, "gold", "fato_resultados").count() > 0
+    stored = read_layer(spark, lay, "gold", "integrity")
+    assert stored.count() == len(gold.RELATIONSHIPS) and stored.filter("orphan_rows > 0").count() == 0
+    # a dimension loses a row that facts refer to
+    write_layer(read_layer(spark, lay, "gold", "dim_municipio").filter("id_municipio != '0000012'"), lay, "gold", "dim_municipio")
+    with pytest.raises(gold.IntegrityError, match="fato_aluno.id_municipio"):
+        medallion.main([*args, "--only", "gold_fato_aluno"])
+    assert read_layer(spark, lay, "gold", "integrity").filter("orphan_rows > 0").count() > 0    # the report is there to read
+    medallion.main([*args, "--only", "gold_fato_aluno", "--no-gate"])
+    assert spark.range(1).count() == 1                      # the caller's session is left running
+
+
+def test_bronze_steps_need_a_raw_table(spark, tmp_path):
+    with pytest.raises(ValueError, match="bronze_uf"):
+        run_all(spark, Layers(root=str(tmp_path)), ["bronze_uf"])
+    assert len(resolve_steps(["bronze"])) == 7 and len(resolve_steps(None)) == 15 and len(resolve_steps(None, bronze=True)) == 22
