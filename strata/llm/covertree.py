@@ -192,6 +192,46 @@ def centres(points: DataFrame) -> DataFrame:
 
 def links(spark: SparkSession, points: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(a, b) node ids of all linked pairs of different points, each once; ``points`` has label, dims, node, v and is read twice."""
+    def pairs(own: pd.DataFrame, its: pd.DataFrame, i: np.ndarray, j: np.ndarray, same: bool) -> pd.DataFrame:
+        return pd.DataFrame({"a": own["node"].to_numpy()[i], "b": its["node"].to_numpy()[j]})
+
+    return _met(spark, points.withColumn("copies", F.lit(1).cast("long")), cosine, pairs, "a long, b long")
+
+
+def neighbours(spark: SparkSession, points: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """(node, to, others): per block pair and linked point, a point that stands for all it is joined to there, and how many
+    rows its links have there; ``points`` has copies, too.  A group of linked points gives a row per point, not per pair."""
+    def told(own: pd.DataFrame, its: pd.DataFrame, i: np.ndarray, j: np.ndarray, same: bool) -> pd.DataFrame:
+        node = own["node"].to_numpy() if same else np.concatenate([own["node"].to_numpy(), its["node"].to_numpy()])
+        copies = own["copies"].to_numpy() if same else np.concatenate([own["copies"].to_numpy(), its["copies"].to_numpy()])
+        j = j if same else j + len(own)
+        others = np.zeros(len(node), np.int64)
+        np.add.at(others, i, copies[j])
+        np.add.at(others, j, copies[i])
+        linked = np.unique(np.concatenate([i, j]))
+        return pd.DataFrame({"node": node[linked], "to": node[_joined(len(node), i, j)[linked]], "others": others[linked]})
+
+    return _met(spark, points, cosine, told, "node long, to long, others long")
+
+
+def _joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest index that links reach from each of n points."""
+    to = np.arange(n)
+    while True:
+        low = np.minimum(to[i], to[j])
+        after = to.copy()
+        np.minimum.at(after, i, low)
+        np.minimum.at(after, j, low)
+        np.minimum.at(after, to[i], low)
+        np.minimum.at(after, to[j], low)
+        after = after[after]
+        if (after == to).all():
+            return to
+        to = after
+
+
+def _met(spark: SparkSession, points: DataFrame, cosine: float, told, schema: str) -> DataFrame:
+    """What ``told`` makes of the links of every pair of blocks that may hold some."""
     net = cut(spark, centres(points), "cover-centres")
     table = net.groupBy("label", "dims").agg(F.collect_list(F.struct("centre", "c")).alias("net"))  # at most CENTRES a label
     by = points.join(table, ["label", "dims"])
@@ -207,10 +247,10 @@ def links(spark: SparkSession, points: DataFrame, cosine: float = COSINE) -> Dat
                 v = np.array(part["v"].tolist())
                 gap = np.stack([_distances(v, one) for one in c], axis=1)
                 nearest = gap.argmin(axis=1)
-                out.append(part.assign(cell=number[nearest], reach=gap[np.arange(len(v)), nearest])[["label", "dims", "node", "v", "cell", "reach"]])
+                out.append(part.assign(cell=number[nearest], reach=gap[np.arange(len(v)), nearest])[["label", "dims", "node", "copies", "v", "cell", "reach"]])
             yield pd.concat(out)
 
-    dealt = cut(spark, by.mapInPandas(deal, "label string, dims int, node long, v array<double>, cell int, reach double"), "cover-cells")
+    dealt = cut(spark, by.mapInPandas(deal, "label string, dims int, node long, copies long, v array<double>, cell int, reach double"), "cover-cells")
     cells = dealt.groupBy("label", "dims", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius"))
     cells = cut(spark, cells.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).join(
         net.withColumnRenamed("centre", "cell"), ["label", "dims", "cell"]), "cover-sizes")
@@ -224,7 +264,7 @@ def links(spark: SparkSession, points: DataFrame, cosine: float = COSINE) -> Dat
     jobs = jobs.select("label", "dims", "cell1", "cell2", "block1", F.explode(F.sequence(F.lit(0), F.col("blocks2") - 1)).alias("block2"))
     jobs = cut(spark, jobs.filter((F.col("cell1") < F.col("cell2")) | (F.col("block1") <= F.col("block2"))), "cover-jobs")
     blocked = cut(spark, dealt.join(cells.select("label", "dims", "cell", "blocks"), ["label", "dims", "cell"]).withColumn(
-        "block", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int")).select("label", "dims", "cell", "block", "node", "v"), "cover-blocks")
+        "block", F.pmod(F.xxhash64(F.lit(7), "node"), F.col("blocks")).cast("int")).select("label", "dims", "cell", "block", "node", "copies", "v"), "cover-blocks")
     place = ["label", "dims", "cell1", "block1", "cell2", "block2"]
     left = blocked.withColumnsRenamed({"cell": "cell1", "block": "block1"}).join(jobs, ["label", "dims", "cell1", "block1"])
     right = again(spark, blocked).withColumnsRenamed({"cell": "cell2", "block": "block2"}).join(
@@ -233,14 +273,12 @@ def links(spark: SparkSession, points: DataFrame, cosine: float = COSINE) -> Dat
     def meet(key, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         same = key[2] == key[4] and key[3] == key[5]
         if not len(x) or (not same and not len(y)):
-            return pd.DataFrame({"a": [], "b": []})
+            return told(x, x, np.empty(0, np.int64), np.empty(0, np.int64), True)
         tree = CoverTree(np.array(x["v"].tolist()))
         other = tree if same else CoverTree(np.array(y["v"].tolist()))
-        i, j = dual_pairs(tree, other, cosine, same)
-        own, its = x["node"].to_numpy(), (x if same else y)["node"].to_numpy()
-        return pd.DataFrame({"a": own[i], "b": its[j]})
+        return told(x, x if same else y, *dual_pairs(tree, other, cosine, same), same)
 
-    return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInPandas(meet, "a long, b long")
+    return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInPandas(meet, schema)
 
 
 def classes(spark: SparkSession, df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -253,14 +291,12 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "vec_id", vector_c
     points = rows.filter("key is not null").groupBy("key").agg(
         F.first("label").alias("label"), F.first("v").alias("v"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
     points = cut(spark, points.withColumn("node", F.xxhash64("key")).withColumn("dims", F.size("v")), "cover-points")
-    pairs = cut(spark, links(spark, points.select("label", "dims", "node", "v"), cosine), "cover-pairs")
-    weights = points.select("node", "copies")
-    both = pairs.union(pairs.select("b", "a"))
-    others = both.join(weights.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
-    roots = cut(spark, components(spark, pairs), "cover-roots")
+    met = cut(spark, neighbours(spark, points.select("label", "dims", "node", "copies", "v"), cosine), "cover-links")
+    others = met.groupBy("node").agg(F.sum("others").alias("others"))
+    roots = cut(spark, components(spark, met.select(F.col("node").alias("a"), F.col("to").alias("b"))), "cover-roots")
     placed = points.select("key", "node", "least", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = placed.join(least, "root").join(others.withColumnRenamed("a", "node"), "node", "left")
+    placed = placed.join(least, "root").join(others, "node", "left")
     placed = placed.select("key", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     return rows.select("id", "key").join(placed, "key", "left").select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
