@@ -17,7 +17,9 @@ element only by a whole token of marking words (``sidebar``, ``cookie-notice``,
   text and of those with at least ``SHARE`` of it.
 
 Inside an article element there are no other regions than its own, so short
-paragraphs between long ones, or at its ends, stay.
+paragraphs between long ones, or at its ends, stay.  Of several article elements
+the one with most text is the page's; the others (teasers, readers' comments) go,
+also where they stand inside it.  What a main element holds beside them stays.
 
 Defined results: null and empty pages have an empty text; a page cut off in
 the middle counts as closed at its end; unknown tags are ignored; references
@@ -27,10 +29,12 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 WINDOW = 3
 THRESHOLD = 40   # characters of a window at a surge point outside an article element
@@ -48,11 +52,11 @@ MARKS = frozenset((
     "ad ads advert adverts advertisement advertising banner promo promoted promotion sponsor sponsored cookie cookies consent "
     "gdpr notice notices popup modal overlay newsletter subscribe subscription signup login sidebar side widget widgets nav navbar navigation "
     "menu menus breadcrumb breadcrumbs pager pagination footer header masthead topbar toolbar share sharing social related recommended "
-    "comment comments respond replies disqus outbrain taboola skip").split())
+    "comment comments commentlist respond reply replies disqus outbrain taboola skip teaser teasers").split())
 # words that may stand beside a mark in a token and change nothing
 BESIDE = frozenset((
     "site page main global primary secondary top bottom left right upper lower mobile desktop sticky fixed box area slot block bar list items item "
-    "links link unit container wrapper wrap inner outer section panel form buttons button icons media posts articles stories post article to the by").split())
+    "links link unit container wrapper wrap inner outer section panel form buttons button icons media user users reader readers visitor visitors guest guests thread threads count area hint box boxes bars posts articles stories post article to the by").split())
 ROLES = ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "form", "menu", "menubar", "alert")
 MAIN = ("article", "main")
 
@@ -60,13 +64,14 @@ TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
 BLANK = re.compile(r"\s+")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")  # cookieBanner is a cookie banner
 # a start tag of these closes an open element of the same or the listed kind
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 
 def _marked(value: str) -> bool:
     """Whether a whole token of a class or id consists of marks, words beside them and numbers."""
-    for token in value.lower().split():
+    for token in CAMEL.sub("-", value).lower().split():
         parts = [x for x in re.split(r"[_-]+", token) if x]
         if any(x in MARKS for x in parts) and all(x in MARKS or x in BESIDE or x.isdigit() for x in parts):
             return True
@@ -94,9 +99,14 @@ def _hidden(name: str, tag: str) -> bool:
     return bool(re.search(r"\shidden(?=[\s>/])", tag)) and name != "body"
 
 
-def blocks(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters outside links, inside an article element) per line; empty lines stand for breaks."""
-    lines: list[tuple[str, int, bool]] = []
+def blocks(page: str) -> list[tuple[str, int, int]]:
+    """(text, characters outside links, place) per line; empty lines stand for breaks.
+
+    ``place`` is the number of the innermost article element, -1 in a main element outside articles, else 0.
+    """
+    lines: list[tuple[str, int, int]] = []
+    articles: list[int] = []
+    numbered = 0
     parts: list[str] = []
     plain = 0
     stack: list[tuple[str, bool, bool]] = []  # name, hidden, main
@@ -108,7 +118,7 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
         text = BLANK.sub(" ", html.unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            lines.append((text, plain and min(plain, len(text)), main > 0))
+            lines.append((text, plain and min(plain, len(text)), articles[-1] if articles else -1 if main else 0))
             at = len(stack)
             while at and stack[at - 1][0] in INLINE:
                 at -= 1
@@ -116,7 +126,7 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
         plain = 0
 
     def gap() -> None:
-        lines.extend([("", 0, False)] * WINDOW)
+        lines.extend([("", 0, 0)] * WINDOW)
 
     def close(to: int) -> None:
         nonlocal hidden, main, links
@@ -127,6 +137,8 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
             links -= name == "a"
             if was_main:
                 main -= 1
+                if name == "article":
+                    articles.pop()
             if (was_hidden and not hidden and not main and not texts[-1]) or was_main:
                 gap()
 
@@ -185,6 +197,9 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
         texts.append(False)
         hidden += is_hidden
         main += is_main
+        if is_main and name == "article":
+            numbered += 1
+            articles.append(numbered)
         links += name == "a"
     flush()
     return lines
@@ -195,8 +210,12 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     lines = blocks(page)
-    article = any(inside for _, _, inside in lines)
-    sizes = [(len(t) if inside else 0) if article else plain for t, plain, inside in lines]
+    article = any(place for _, _, place in lines)
+    text_of: Counter = Counter()
+    for text, _, place in lines:
+        text_of[place] += len(text) if place > 0 else 0
+    own = max(text_of, key=lambda place: (text_of[place], -place), default=0)  # of several articles the one with most text
+    sizes = [(len(t) if place and place in (own, -1) else 0) if article else plain for t, plain, place in lines]
     threshold = 0 if article else THRESHOLD
     sums = [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
     regions: list[tuple[int, int, int]] = []
@@ -230,6 +249,7 @@ def extract(df: DataFrame, html_col: str = "html", keys: tuple[str, ...] = ("pag
                     [part.column(i) for i in range(len(keys))] + [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                     names=[f"__{i}" for i in range(len(keys))] + ["text", "n_chars"])
 
-    kinds = "".join(f"`__{i}` {df.schema[k].dataType.simpleString()}, " for i, k in enumerate(keys))
-    out = rows.mapInArrow(run, kinds + "text string, n_chars long")
+    schema = StructType([StructField(f"__{i}", df.schema[k].dataType) for i, k in enumerate(keys)] + [
+        StructField("text", StringType()), StructField("n_chars", LongType())])
+    out = rows.mapInArrow(run, schema)
     return out.select(*[F.col(f"__{i}").alias(k) for i, k in enumerate(keys)], "text", "n_chars")
