@@ -37,6 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from strata.llm.common import BLANKS, again, cut, words
 from strata.llm.components import components
@@ -277,15 +278,18 @@ def _links(band: int, left: pd.DataFrame, right: pd.DataFrame) -> list[tuple[byt
 
 
 def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, key, class_id, root, lead) for every row; key is the digest of the text (null without words).
+    """(id, key, class_id, root, lead, kept) for every row; key is the digest of the text (null without words).
 
     ``root`` is the key that names the class, ``lead`` the key of the text that stands for it: the
     smallest key under the smallest id (null if all ids are null).  Both are null without words.
+    ``kept`` is true for one row of each class, also where rows are equal in id and text, and for rows without words.
     """
     body = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.unhex(F.md5(body)).alias("key"), word_hashes(body).alias("text"))
-    kind = df.schema[id_col].dataType.simpleString()
-    signed = cut(spark, rows.mapInArrow(_signature_batches, f"doc_id {kind}, key binary, bands array<bigint>, sketch binary"), "minhash-signatures")
+    schema = StructType([StructField("doc_id", df.schema[id_col].dataType), StructField("key", BinaryType()),
+                         StructField("bands", ArrayType(LongType())), StructField("sketch", BinaryType())])
+    signed = rows.mapInArrow(_signature_batches, schema).withColumn("row", F.monotonically_increasing_id())
+    signed = cut(spark, signed, "minhash-signatures")  # row numbers are now data and cannot change
     distinct = signed.filter("bands is not null").groupBy("key").agg(F.first("bands").alias("bands"))
     banded = distinct.select("key", F.posexplode("bands").alias("band", "hash"))
     buckets = banded.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("leader")).filter("size > 1")
@@ -322,13 +326,14 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
         asked.groupBy(*lane, F.col("own").alias("x"), F.col("block").alias("y"))).applyInPandas(_compare, "a binary, b binary")
     links = pairs.distinct()
     roots = cut(spark, components(spark, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "minhash-roots")
-    placed = signed.select("doc_id", F.when(F.col("bands").isNotNull(), F.col("key")).alias("key")).join(
+    placed = signed.select("doc_id", "row", F.when(F.col("bands").isNotNull(), F.col("key")).alias("key")).join(
         roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "key"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "key", "row"))
     least = placed.filter("root is not null").groupBy("root").agg(first.alias("first"))
-    least = least.select("root", F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("lead"))
+    least = least.select("root", F.col("first.doc_id").alias("class_id"), F.col("first.key").alias("lead"), F.col("first.row").alias("first_row"))
     return placed.join(least, "root", "left").select(
-        F.col("doc_id").alias(id_col), "key", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "root", "lead")
+        F.col("doc_id").alias(id_col), "key", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "root", "lead",
+        (F.col("root").isNull() | (F.col("row") == F.col("first_row"))).alias("kept"))
 
 
 def representatives(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

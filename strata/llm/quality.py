@@ -36,7 +36,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from strata.llm.common import WORD, cut, drop_cut, pack, unpack, words
+from strata.llm.common import ROW, WORD, cut, drop_cut, pack, unpack, words
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -71,7 +71,12 @@ def _coverage_factor() -> float:
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` (any columns) plus a struct ``__stats`` with the counts of BASE and ``base_failed``."""
+    """``df`` plus a struct ``__stats`` with the counts of BASE and ``base_failed``; ``df`` has no column of that name."""
+    return unpack(_counted(df, text), F.col("__stats"))
+
+
+def _counted(df: DataFrame, text: str) -> DataFrame:
+    """The packed rows of ``df`` (any columns) and the struct ``__stats``."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     out = pack(df, __text=body)
     out = out.withColumn("__words", words(F.col("__text")))
@@ -94,7 +99,7 @@ def statistics(df: DataFrame, text: str = "text") -> DataFrame:
                           lambda n, k: n + F.least(F.lit(WINDOW), F.get("__at", k) - F.get("__at", k - 1)).cast("long"))
     out = out.withColumn("__repeat", F.coalesce(F.when(F.size("__at") > 1, covered), F.lit(0).cast("long"))).drop("__at")
     failed = (F.col("__n") < MIN_WORDS) | (100 * F.col("__repeat") > MAX_REPEAT_PERCENT * F.col("__n"))
-    return unpack(out, F.struct(
+    return out.select(ROW, F.struct(
         *[F.col(c).alias(n) for c, n in zip(("__n", "__chars", "__symbols", "__dup", "__repeat"), BASE, strict=True)],
         failed.alias("base_failed")).alias("__stats"))
 
@@ -219,14 +224,18 @@ def distance() -> Column:
                      {(i, j): F.col(f"l{i}{j}") for i in range(P) for j in range(i + 1)})
 
 
-def judge(spark: SparkSession, df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``df`` plus a struct ``__quality``: the counts of BASE, base_failed, distance (null: no verdict) and kept."""
-    counted = statistics(df, text)
-    table = cut(spark, counted.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), F.col(f"`{lang}`").alias("__lang"),
-        F.col(f"`{source}`").alias("__source"), "__stats"), "quality-statistics")
-    params = cut(spark, fit(spark, table.drop("__row")), "quality-estimates")
+def judge_rows(spark: SparkSession, df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """Each row of ``df`` (columns of any names) packed in ``__row``, and a struct ``__quality``: the counts of BASE,
+    base_failed, distance (null: no verdict) and kept."""
+    table = cut(spark, _counted(df, text).select(
+        ROW, F.col(f"{ROW}.`{lang}`").alias("__lang"), F.col(f"{ROW}.`{source}`").alias("__source"), "__stats"), "quality-statistics")
+    params = cut(spark, fit(spark, table.drop(ROW)), "quality-estimates")
     scored = vectors(table, params).withColumn("__d", distance())
     verdict = F.struct("__stats.*", F.col("__d").alias("distance"),
                        (~F.col("__stats.base_failed") & (F.coalesce(F.col("__d"), F.lit(0.0)) <= CUTOFF)).alias("kept"))
-    return scored.select("__row.*", verdict.alias("__quality"))
+    return scored.select(ROW, verdict.alias("__quality"))
+
+
+def judge(spark: SparkSession, df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """``df`` plus the struct ``__quality`` of ``judge_rows``; ``df`` has no column of that name."""
+    return unpack(judge_rows(spark, df, text, lang, source), F.col("__quality"))

@@ -83,14 +83,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.classes(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
-    kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & F.col("key").eqNullSafe(F.col("lead"))
-    return found.select("doc_id", "class_id", F.lower(F.hex("root")).alias("class_key"), kept.alias("kept"))
+    return found.select("doc_id", "class_id", F.lower(F.hex("root")).alias("class_key"), "kept")
 
 
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(spark, read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
-    return judged.select("doc_id", *[f"__quality.{c}" for c in quality.BASE], "__quality.base_failed", "__quality.kept", "__quality.distance")
+    judged = quality.judge_rows(spark, read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return judged.select("__row.doc_id", *[f"__quality.{c}" for c in quality.BASE], "__quality.base_failed", "__quality.kept", "__quality.distance")
 
 
 @query
