@@ -40,6 +40,7 @@ MAX_REPEATS = 2
 BLOCKS = 4096     # most blocks of a source; smaller sources have blocks of about BLOCK_ROWS rows
 BLOCK_ROWS = 32
 FILLS = 4
+LANE_WORDS = 2_000_000   # words that one task writes, about
 SHARDS = 8
 SEED = 20
 
@@ -182,4 +183,7 @@ def mix(spark: SparkSession, df: DataFrame, shards: int = SHARDS, text: str = "t
     placed = split(spark, drawn, shards).select("__key", "pass", "shard", "shard_key")
     placed = placed.groupBy("__key").agg(F.collect_set(F.struct("pass", "shard", "shard_key")).alias("copies"))
     out = rows.join(placed, "__key").select("__row", F.explode("copies").alias("copy")).select("__row", "copy.*")
-    return unpack(out.repartition("shard", F.pmod("shard_key", F.lit(16))).sortWithinPartitions("shard", "shard_key"))
+    words_out = drawn.agg(F.sum("__size")).first()[0] or 0
+    lanes = 1 + words_out // (shards * LANE_WORDS)  # tasks that write a shard, by its size
+    # as many partitions as lanes in all, so that they grow with the output
+    return unpack(out.repartition(shards * lanes, "shard", F.pmod("shard_key", F.lit(lanes))).sortWithinPartitions("shard", "shard_key"))

@@ -37,6 +37,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 MAX_ROWS = 20_000       # labelled rows used for learning
 MAX_TERMS = 2_000       # candidate terms that may reach the driver
@@ -278,6 +279,7 @@ def score(df: DataFrame, grammar: Grammar, text: str = "text", keys: tuple[str,
                    pa.array(found, pa.list_(pa.float64()))],
                 names=[f"__{i}" for i in range(len(keys))] + ["score", "predicted", "kind_sums"])
 
-    kinds = "".join(f"`__{i}` {df.schema[k].dataType.simpleString()}, " for i, k in enumerate(keys))
-    out = rows.mapInArrow(run, kinds + "score double, predicted int, kind_sums array<double>")
+    schema = StructType([StructField(f"__{i}", df.schema[k].dataType) for i, k in enumerate(keys)] + [
+        StructField("score", DoubleType()), StructField("predicted", IntegerType()), StructField("kind_sums", ArrayType(DoubleType()))])
+    out = rows.mapInArrow(run, schema)
     return out.select(*[F.col(f"__{i}").alias(k) for i, k in enumerate(keys)], "score", "predicted", "kind_sums")
