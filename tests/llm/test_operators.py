@@ -396,42 +396,85 @@ def test_pseudo_likelihood(spark, docs, empty):
     assert lm.score(spark, docs).count() == len(ROWS) and lm.score(spark, empty).count() == 0
 
 
-def test_rare_words_have_probabilities_of_their_own(spark):
-    # twice as many words as have tokens; w0 and w1 are met once, two others share their hashed tokens far more often
-    common = [(i, " ".join(f"c{k}" for k in range(lm.KNOWN))) for i in range(6)]
-    rare = [(100 + k, f"w{k} w{k} w{k}" if k % 2 else f"w{k}") for k in range(lm.KNOWN)]
+KNOWN = 32 * 31     # words with tokens of their own while there are few distinct words
+
+
+@pytest.mark.parametrize("mapped", [1 << 18, KNOWN + 100])
+def test_rare_words_have_probabilities_of_their_own(spark, monkeypatch, mapped):
+    # twice as many words as have tokens; their counts tell those of one shared token apart, in the map or joined
+    monkeypatch.setattr(lm, "MAPPED", mapped)
+    common = [(i, " ".join(f"c{k}" for k in range(KNOWN))) for i in range(6)]
+    rare = [(100 + k, f"w{k} w{k} w{k}" if k % 2 else f"w{k}") for k in range(KNOWN)]
     frame = spark.createDataFrame(common + rare, "doc_id long, text string")
-    got = {r.doc_id: r for r in lm.score(spark, frame).collect()}
-    hashes = {r.text.split()[0]: r.h[0] for r in frame.filter("doc_id >= 100").select("text", lm.token_hashes(F.col("text")).alias("h")).collect()}
-    count = {f"w{k}": 3 if k % 2 else 1 for k in range(lm.KNOWN)}
+    hashed = frame.select(F.col("doc_id").alias("__key"), lm.token_hashes(F.col("text")).alias("h"))
+    hashes = {r["__key"]: r.h[0] for r in hashed.filter("__key >= 100").collect()}
+    count = {100 + k: 3 if k % 2 else 1 for k in range(KNOWN)}
     total = Counter()
-    for word, n in count.items():
-        total[(hashes[word] >> 32) & (lm.CLASS - 1)] += n
-    counts = cut(spark, lm.word_counts(frame.select(lm.token_hashes(F.col("text")).alias("h"))), "test-counts")
-    assert counts.count() == 2 * lm.KNOWN
-    known = lm.vocabulary(counts)
-    rows = cut(spark, frame.select(F.col("doc_id").alias("__row"), lm.token_hashes(F.col("text")).alias("h")), "test-words")
-    costs = {r["__row"]: r.rare / lm.UNITS for r in lm.rare_costs(spark, rows, counts, known).collect()}
-    assert set(costs) == set(range(100, 100 + lm.KNOWN))
-    for k in range(lm.KNOWN):
-        word = f"w{k}"
-        assert abs(costs[100 + k] - count[word] * np.log(count[word] / total[(hashes[word] >> 32) & (lm.CLASS - 1)])) < 1e-6
-    # single rare words of one shared token differ by their counts alone
-    single = [k for k in range(0, lm.KNOWN, 2) if (hashes[f"w{k}"] >> 32) & (lm.CLASS - 1) == 0]
-    assert single and len({got[100 + k].log_likelihood for k in single}) == 1 and all(got[100 + k].log_likelihood < costs[100 + k] for k in single)
-
-
-def test_network_gradient():
+    for doc, n in count.items():
+        total[(hashes[doc] >> 32) & 31] += n
+    counts = cut(spark, lm.word_counts(hashed), "test-counts")
+    assert counts.count() == 2 * KNOWN and lm.side(2 * KNOWN) == 32
+    known = lm.frequent_words(counts, 32)
+    assert known.totals.tolist() == [total[t] for t in range(32)]
+    read = {r["__key"]: r for r in lm.tokenized(spark, hashed, known).collect()}
+    joined = sum(len(r.others) for r in read.values())
+    assert joined == (0 if mapped > 2 * KNOWN else sum(sorted(count.values(), reverse=True)[100:]))
+    got = {r.doc_id: r for r in lm.score(spark, frame).collect()}
+    for doc, n in count.items():   # what is left without a word's own cost is the same for the words of one shared token and length
+        own = n * np.log(n / total[hashes[doc] >> 32 & 31])
+        if not read[doc].others:
+            assert abs(read[doc].mapped / lm.UNITS - own) < 1e-6
+        got[doc] = got[doc].log_likelihood - own
+    for token in range(32):
+        for n in (1, 3):
+            alike = [got[d] for d in count if count[d] == n and (hashes[d] >> 32) & 31 == token]
+            assert not alike or max(alike) - min(alike) < 1e-3
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 200])
+def test_scores_do_not_depend_on_the_layout(spark, monkeypatch, partitions):
+    monkeypatch.setattr(lm, "LANE_WORDS", 3000)     # several lanes
+    rng = np.random.default_rng(3)
+    rows = [(i if i % 7 else None, " ".join(f"w{int(w)}" for w in rng.zipf(1.5, int(rng.integers(0, 60))) if w < 5000)) for i in range(300)] * 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens, r.log_likelihood)
+    base = sorted(lm.score(spark, frame.coalesce(2)).collect(), key=key)
+    other = sorted(lm.score(spark, frame.repartition(partitions, F.rand(partitions))).collect(), key=key)
+    assert [(r.doc_id, r.n_tokens) for r in base] == [(r.doc_id, r.n_tokens) for r in other]
+    assert max(abs(a.log_likelihood - b.log_likelihood) for a, b in zip(base, other)) < 2e-4   # the last rounded digit
+
+
+def test_the_network_grows_with_the_corpus():
+    assert [lm.side(n) for n in (0, 10, 10**6, 2**24, 2**28, 2**40)] == [32, 32, 32, 64, 128, 256]
+
+
+@pytest.mark.parametrize("classes", [4, 32])
+def test_network_gradient_against_finite_differences(classes):
     rng = np.random.default_rng(11)
-    ids = rng.integers(0, lm.TOKENS, 50).astype(np.int32)
-    network = lm.Network()
+    ids = rng.integers(0, classes * classes, 50).astype(np.int32)
+    network = lm.Network(classes, dtype=np.float64)
+    edge = classes * classes
     context = network.contexts(ids, np.array([20, 0, 30]))
-    assert (context[:, 0] == [lm.TOKENS, lm.TOKENS, ids[1], ids[2]]).all() and context[2, 19] == lm.TOKENS
-    before = network.log_probabilities(ids, context).mean()
-    grown = lm.Network(np.full(len(network.flat), 1e-8))
-    for _ in range(20):
-        network.step(ids, context, grown)
-    assert network.log_probabilities(ids, context).mean() > before + 1
+    assert (context[:, 0] == [edge, edge, ids[1], ids[2]]).all() and context[2, 19] == edge
+    found = lm.Network(classes, np.zeros(len(network.flat)), np.float64)
+    for name, rows, gradient in network.gradients(ids, context):
+        getattr(found, name)[rows] += gradient
+
+    def loss():
+        log = network._log_softmax(network.hidden(context) @ network.classes + network.class_bias)[np.arange(50), ids // classes]
+        inner = [network._log_softmax((network.hidden(context)[[i]] @ network.members[c] + network.member_bias[c]))[0, ids[i] % classes]
+                 for i, c in enumerate(ids // classes)]
+        return -(log + inner).mean()
+
+    touched = np.nonzero(found.flat)[0]
+    for at in [*rng.choice(touched, 60, replace=False), *rng.integers(0, len(network.flat), 20)]:
+        was = network.flat[at]
+        network.flat[at] = was + 1e-5
+        up = loss()
+        network.flat[at] = was - 1e-5
+        down = loss()
+        network.flat[at] = was
+        assert abs((up - down) / 2e-5 - found.flat[at]) < 1e-7, at
 
 
 # --- 1 quotations -------------------------------------------------------------
@@ -481,3 +524,82 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in docs.collect()} == set(range(150))
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in out.select("doc_id").collect()} <= set(range(150)) and out.filter("n_tokens != size(ids)").count() == 0
+
+
+# --- column names that clash, empty tables, repeated rows, through every stage --------------------
+
+ODD_NAMES = ("a b", "a:b", "x-y", "__stats", "__quality", "__row", "size", "row")
+
+
+def test_pipeline_stages_take_any_column_names(spark, docs, tmp_path, monkeypatch):
+    import corpus_pipeline
+    frame = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(ODD_NAMES)])
+    frame = frame.unionByName(frame)
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for table in (frame, frame.limit(0)):
+        now = table
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, cut(spark, now, "test-stage"), str(tmp_path))
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == frame.columns, name
+                now = out
+            out.count()
+
+
+def test_one_row_of_a_class_is_kept_whatever_its_ids(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text), (1, text), (2, text), (None, text + " more"), (None, "other " * 9), (None, "other " * 9), (7, None), (7, "")]
+    found = minhash.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(r.root for r in found if r.kept and r.root) == {r.root: 1 for r in found if r.root}
+    assert sum(r.kept for r in found) == 2 + 2 and all(r.kept for r in found if r.root is None)
+
+
+# --- 2 and 9 ------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("mark", ["user-comments", "commentlist", "reader-reply", "cookieBanner", "AdBox"])
+def test_parts_beside_the_article_go_by_their_marks(mark):
+    prose = "<p>" + "Real prose here. " * 20 + "</p>"
+    page = f"<body><article><h1>T</h1>{prose}<div class='{mark}'><p>GO AWAY</p></div><p>end</p></article></body>"
+    assert html.main_text(page) == "T\n\n" + ("Real prose here. " * 20).strip() + "\n\nend"
+
+
+def test_other_articles_go():
+    prose = "<p>" + "Real prose here. " * 20 + "</p>"
+    whole = ("Real prose here. " * 20).strip()
+    assert html.main_text(f"<article><h2>Teaser</h2><p>other</p></article><article>{prose}<p>short</p></article>") == whole + "\n\nshort"
+    assert html.main_text(f"<main><h1>T</h1><article>{prose}<article><p>a reader</p></article></article><p>after</p></main>") == f"T\n\n{whole}\n\nafter"
+
+
+def test_extraction_takes_empty_tables_repeats_and_long_pages(spark):
+    long = "<article>" + "<p>Some words of prose.</p>" * 50_000 + "</article>"
+    rows = [(1, "u", long), (2, "u", None), (2, "u", None), (3, None, "")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x")).withColumn("a b", F.lit(1))
+    got = html.extract(frame).collect()
+    assert sorted((r.page_id, r.n_chars) for r in got) == [(1, 50_000 * 22 - 2), (2, 0), (2, 0), (3, 0)]
+    assert html.extract(frame.limit(0)).count() == 0
+
+
+def test_licences_of_other_names_are_never_a_wrong_family(spark):
+    notices = {
+        "Licensed under the Boost Software License, Version 1.0.": ("Boost", "unknown"),
+        "Licensed under the Eclipse Public License, Version 2.0.": ("EPL", "unknown"),
+        "This work is licensed under the Open Government Licence, version 3.": ("unknown",),
+        "Licensed under the Sleepycat License, Version 2.0.": ("unknown",),
+        "This is free and unencumbered software released into the public domain.": ("Unlicense", "unknown"),
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.": ("ISC", "unknown"),
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.": ("MIT",),
+        "Licensed under the Apache License, Version 2.0.": ("Apache",),
+        "Licensed under the MIT License.": ("MIT",),
+        "This work is licensed under the GNU General Public License, version 3.": ("GPL",)}
+    rows = [(i, text) for i, text in enumerate(notices)] + [(100 + i, f"Plain prose number {i} about rivers and towns, without any notice.") for i in range(60)]
+    frame = spark.createDataFrame(rows + rows[:1], "doc_id long, text string")
+    model = licenses.fit(spark, frame)
+    found = {}
+    for r in licenses.scan(spark, frame, model=model).collect():
+        found[r.doc_id] = r.family
+    for i, families in enumerate(notices.values()):
+        assert found[i] in families, (rows[i], found[i])
+    assert licenses.scan(spark, frame.limit(0), model=model).count() == 0
