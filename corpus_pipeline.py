@@ -18,8 +18,7 @@ ORACLE_SQL = None  # numpy models and hashes; the stages are tested against brut
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or are outliers go."""
-    judged = quality.judge(spark, docs)
-    return judged.filter("__quality.kept").select(*[f"`{c}`" for c in docs.columns])
+    return unpack(quality.judge_rows(spark, docs).filter("__quality.kept"))
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
