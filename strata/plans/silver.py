@@ -100,6 +100,8 @@ def promote(spark: SparkSession, spec: SilverSpec, layers: Layers, at: Column |
     bronze = read_layer(spark, layers, "bronze", spec.source)
     cleaned, silver = build(spec, bronze, at)
     pre = pre_report(spec, cleaned)
+    if spec.check_schema:
+        pre = Q.contract_report(bronze, spec.columns).unionByName(pre)
     pre_rows = pre.collect()                      # one row per check
     pre = spark.createDataFrame(pre_rows, pre.schema)
     Q.enforce(pre)                                # Q26: stop before the write

@@ -161,3 +161,12 @@ def test_compare_tables_on_common_columns(spark):
     assert r["schema"]["only_in_a"] == ["extra"]
     assert {x.metric: x.value for x in r["counts"].collect()} == {"rows_a": 2, "rows_b": 2, "only_in_a": 1, "only_in_b": 1}
     assert sorted(tuple(x) for x in r["rows"].collect()) == [("only_in_a", 2, "y"), ("only_in_b", 3, "z")]
+
+
+def test_missing_columns_are_report_rows_and_a_gate(spark):
+    df = spark.range(1).withColumn("extra", F.lit(1))
+    rows = {r.column_name: (r.violations, r.severity) for r in Q.contract_report(df, ["id", "ano", "rede"]).collect()}
+    assert rows == {"id": (0, "gate"), "ano": (1, "gate"), "rede": (1, "gate")}
+    with pytest.raises(Q.QualityGateError, match="ano.*rede"):
+        Q.require_columns(df, ["id", "ano", "rede"])
+    assert Q.require_columns(df, ["id"]).count() == 1
