@@ -4,14 +4,16 @@
 * ``pack`` / ``unpack``: carry a whole input row in one struct column, so that
   an operator's own column names can never clash with the input's.
 * ``cut``: write a frame under the shared folder and read it back; a lost
-  executor afterwards costs a reread of files, never a recomputation.
-* ``drop_cut``: remove such a copy once nothing reads it any more.
+  executor afterwards costs a reread of files, never a recomputation.  The copy
+  goes when the driver ends, since a frame that reads it may live until then.
+* ``drop_cut``: remove such a copy as soon as nothing reads it any more.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from strata.session import shared_path
+from strata.sources import files
 
 ROW = "__row"
 WORD = r"[^\x20\x09-\x0D]+"  # a run of characters that are not ASCII white space
@@ -44,6 +46,7 @@ def cut(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Materialise ``df`` under the shared folder; the reread frame has no lineage before the files."""
     path = shared_path(spark, "llm", name, unique=True)
     df.write.parquet(path)
+    files.remove_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     return out
@@ -58,7 +61,5 @@ def again(spark: SparkSession, frame: DataFrame) -> DataFrame:
 
 def drop_cut(spark: SparkSession, *frames: DataFrame) -> None:
     """Remove copies made by ``cut`` that nothing will read again."""
-    jvm = spark.sparkContext._jvm
     for frame in frames:
-        path = jvm.org.apache.hadoop.fs.Path(frame._cut_path)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files.remove(spark, frame._cut_path)
