@@ -603,3 +603,20 @@ def test_licences_of_other_names_are_never_a_wrong_family(spark):
     for i, families in enumerate(notices.values()):
         assert found[i] in families, (rows[i], found[i])
     assert licenses.scan(spark, frame.limit(0), model=model).count() == 0
+
+
+# --- 4 toxicity, held out -------------------------------------------------------------------------
+
+def test_toxicity_on_rows_that_were_never_learned_from(spark):
+    """Labelled documents of sf0.01 whose labels the query does not read: ranking, toxic ones found, clean ones left alone."""
+    from strata.llm import queries
+    sf = "/root/testdata/sf0.01"
+    scored = queries.op4_toxicity(spark, sf).filter("held_out")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic").filter("toxic IS NOT NULL")
+    rows = scored.join(labels, "doc_id").select("score", "predicted", "toxic").collect()
+    good, bad = [r.score for r in rows if r.toxic == 0], [r.score for r in rows if r.toxic == 1]
+    assert len(good) > 50 and len(bad) > 10
+    auc = np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in good])
+    assert auc >= 0.85
+    assert np.mean([r.predicted for r in rows if r.toxic == 1]) >= 0.7
+    assert np.mean([r.predicted for r in rows if r.toxic == 0]) <= 0.02
