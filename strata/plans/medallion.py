@@ -15,12 +15,11 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from strata.plans import gold
 from strata.plans.silver import SILVER_SPECS, Promotion, promote
-from strata.sources import Layers, ingest, read_layer, write_layer
+from strata.sources import Layers, ingest, layer_exists, read_layer, write_layer
 
 # The raw tables and the data set they come from
 BRONZE_TABLES = ["alunos", "dicionario", "meta_alfabetizacao_brasil", "meta_alfabetizacao_municipio",
@@ -118,12 +117,8 @@ def run_all(spark: SparkSession, layers: Layers, only: Iterable[str] | None = No
 
 def integrity_report(spark: SparkSession, layers: Layers) -> DataFrame:
     """J6 over whatever gold tables exist: (relationship, orphan_rows, orphan_keys)."""
-    tables = {}
-    for name in GOLD_STEPS:
-        try:
-            tables[name] = read_layer(spark, layers, "gold", name)
-        except AnalysisException:      # a table not built yet is simply skipped
-            continue
+    built = [t for t in GOLD_STEPS if layer_exists(spark, layers, "gold", t)]
+    tables = {t: read_layer(spark, layers, "gold", t) for t in built}
     return gold.gold_integrity(tables)
 
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.sources import files
 from strata.sources.publish import current
 
 
@@ -59,6 +60,14 @@ def read_layer(spark: SparkSession, layers: Layers, layer: str, table: str) -> D
     return spark.read.table(loc) if layers.catalog and layer != "external" else read_table(spark, loc)
 
 
+def layer_exists(spark: SparkSession, layers: Layers, layer: str, table: str) -> bool:
+    """Whether a layer's table has been written."""
+    loc = layers.location(layer, table)
+    if layers.catalog and layer != "external":
+        return spark.catalog.tableExists(loc)
+    return current(spark, loc) is not None or files.exists(spark, loc)
+
+
 class TableSet:
     """Driver test tables under one folder: ``TableSet(spark, dir).orders``."""
 
