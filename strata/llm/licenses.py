@@ -10,7 +10,8 @@ that holds one of ``ANCHORS`` (every template does) goes through
 * sparse counts of word 1- and 2-grams, over the n-grams of the templates;
 * multinomial logistic regression over the families and the class unknown;
 * a calibrated threshold: the family must be likelier than it is for all but
-  ``FALSE_SHARE`` of unknown paragraphs that were kept out of the training;
+  ``FALSE_SHARE`` of unknown paragraphs that were kept out of the training, counted
+  over all of them in ``STEPS`` steps;
 * comparison with the family's templates, from both sides: the share of a
   template's n-grams that the paragraph has, the best template counts, at least
   ``CONFIRM``; and every word of a licence's name in the paragraph (the
@@ -18,9 +19,12 @@ that holds one of ``ANCHORS`` (every template does) goes through
   licence of another name is not taken for a family that words its notice alike.
 
 The model is fitted on the templates, on copies of them with words left out by
-hash, and on a sample of at most ``UNKNOWN_ROWS`` paragraphs of the corpus for
-the class unknown, taken by hash (a documented bound); paragraphs that a
-template explains are no examples of unknown.  Scanning covers whole texts.
+hash, and for the class unknown on every line and paragraph of the corpus that
+holds an anchor, which are those that the scan judges: by a hash of its text one
+half trains and the other sets the threshold.  However many they are, they weigh
+``UNKNOWN_WEIGHT`` at most.  Those that a template explains, or that are a piece
+of one (``EXPLAINED`` of the template's n-grams, or of their own), are no examples
+of unknown.  Scanning covers whole texts.
 
 Defined results: a wrapped notice gives one row with its first line's number and
 ``n_lines``, in place of its lines' rows; every other line with an anchor gives a
@@ -38,8 +42,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from strata.llm.common import cut
 
 UNKNOWN = "unknown"
-UNKNOWN_ROWS = 4000
+UNKNOWN_WEIGHT = 400.0  # of all unknown paragraphs together
+ROW_WEIGHT = 0.2        # of one of them, while they are few
+EXPLAINED = 0.5
 FALSE_SHARE = 0.001
+STEPS = 10_000
 CONFIRM = 0.6
 COPIES = 12
 LEFT_OUT = 0.25
@@ -150,13 +157,18 @@ def wrapped(rows: DataFrame, taken: DataFrame) -> DataFrame:
     return apart.filter((F.col("n_lines") > 1) & F.col("body").rlike(rf"(?i)(?:{ANCHORS})"))
 
 
-def sampled_unknown(df: DataFrame, text: str = "text", rows: int = UNKNOWN_ROWS) -> DataFrame:
-    """At most ``rows`` lines of the corpus, one each of the texts with the smallest hashes."""
-    lines = F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda x: F.length(x) > 20)
-    few = df.select(F.xxhash64(f"`{text}`").alias("o"), F.get(lines, F.lit(0)).alias("text")).filter("text is not null")
-    n = df.count()
-    share = 1.0 if n <= rows else 0.95 * rows / n
-    return few.filter(F.pmod("o", F.lit(1 << 32)) < int(share * (1 << 32))).limit(rows)
+def unknown_paragraphs(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """(o, grams) of every line and paragraph of ``rows`` with an anchor that no template explains; ``o`` is a hash of its text."""
+    fixed = templates(spark).select("family", F.col("grams").alias("t_grams"))
+    explained = (F.col("similarity") >= EXPLAINED) | (F.col("inside") >= EXPLAINED)
+
+    def told(found: DataFrame) -> DataFrame:
+        found = found.select("__row", "paragraph", F.xxhash64("body").alias("o"), grams(F.col("body")).alias("grams"))
+        return compared(found.filter(F.size("grams") > 0), fixed).withColumn("explained", explained).drop("similarity", "inside")
+
+    lines = cut(spark, told(single_lines(rows)), "licence-told-lines")
+    paragraphs = told(wrapped(rows, lines.filter("explained").select("__row", "paragraph")))
+    return lines.union(paragraphs).filter("NOT explained").select("o", "grams")
 
 
 class Model:
@@ -172,36 +184,57 @@ class Model:
 
 
 def fit(spark: SparkSession, df: DataFrame, text: str = "text") -> Model:
+    return fit_rows(spark, cut(spark, anchored_texts(df, [], text), "licence-texts"))
+
+
+def fit_rows(spark: SparkSession, rows: DataFrame) -> Model:
+    """The model of all texts of ``rows``, made by ``anchored_texts``."""
     fixed = templates(spark)
     vocabulary = sorted({g for row in fixed.select("grams").collect() for g in row.grams})  # of the fixed templates
     copies = fixed.select("label", F.explode(F.sequence(F.lit(0), F.lit(COPIES))).alias("copy"), "grams")
     kept = F.filter("grams", lambda g: (F.col("copy") == 0) | (F.pmod(F.xxhash64(g, F.col("copy")), F.lit(1000)) >= int(1000 * LEFT_OUT)))
     known = copies.select("label", kept.alias("grams"), F.lit(1.0).alias("weight"))
-    sample = sampled_unknown(df, text).withColumn("grams", grams(F.col("text")))
-    sample = cut(spark, compared(sample, fixed.select("family", F.col("grams").alias("t_grams"))).filter("similarity < 0.5").select("o", "grams"), "licence-unknown")
+    unknown = cut(spark, unknown_paragraphs(spark, rows), "licence-unknown")
+    trains = unknown.filter("pmod(o, 2) = 0")
+    weight = min(ROW_WEIGHT, UNKNOWN_WEIGHT / max(1, trains.count()))
     generic = spark.range(1).select(F.lit(0.0).alias("label"), F.array().cast("array<string>").alias("grams"), F.lit(1.0).alias("weight"))
-    train = known.union(generic).union(sample.filter("pmod(o, 2) = 0").select(F.lit(0.0).alias("label"), "grams", F.lit(0.2).alias("weight")))
+    train = known.union(generic).union(trains.select(F.lit(0.0).alias("label"), "grams", F.lit(weight).alias("weight")))
     vectoriser = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", minTF=1.0)
     train = cut(spark, vectoriser.transform(train), "licence-training")
     classifier = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60, weightCol="weight", labelCol="label").fit(train)
     model = Model(vectoriser, classifier, 0.5)
-    held = model.probabilities(sample.filter("pmod(o, 2) = 1")).select((F.array_max(F.slice("p", 2, len(FAMILIES) - 1))).alias("m"))
-    high = held.agg(F.percentile("m", F.lit(1 - FALSE_SHARE)).alias("t")).first().t  # of the bounded sample
-    model.threshold = min(0.9, max(0.5, high or 0.0))
+    model.threshold = threshold(model.probabilities(unknown.filter("pmod(o, 2) = 1")))
     return model
 
 
+def threshold(held: DataFrame) -> float:
+    """The least of 0.5 to 0.9, in STEPS of 1, that all but FALSE_SHARE of the unknown paragraphs ``held`` (p) stay under."""
+    step = F.floor(F.array_max(F.slice("p", 2, len(FAMILIES) - 1)) * STEPS).alias("step")
+    counts = {r.step: r.many for r in held.groupBy(step).agg(F.count(F.lit(1)).alias("many")).collect()}  # at most STEPS + 1 rows
+    allowed, above, at = FALSE_SHARE * sum(counts.values()), 0, STEPS
+    while at >= STEPS // 2 and above + counts.get(at, 0) <= allowed:
+        above += counts.get(at, 0)
+        at -= 1
+    return min(0.9, max(0.5, (at + 1) / STEPS))
+
+
 def compared(rows: DataFrame, table: DataFrame, on: str | None = None) -> DataFrame:
-    """``rows`` plus similarity: the best share of a template's n-grams that the row has, of all templates or of those of family ``on``."""
+    """``rows`` plus similarity: the best share of a template's n-grams that the row has, of all templates or of those of family ``on``.
+
+    Of all templates, also ``inside``: the best share of the row's n-grams that a template has.
+    """
     per = table.groupBy("family").agg(F.collect_list("t_grams").alias("t")) if on else table.groupBy().agg(F.collect_list("t_grams").alias("t"))
     joined = rows.join(F.broadcast(per), on) if on else rows.join(F.broadcast(per))  # the fixed templates
-    best = F.array_max(F.transform("t", lambda t: F.size(F.array_intersect(t, F.col("grams"))) / F.size(F.array_distinct(t))))
-    joined = joined.withColumn("similarity", best)
+    joined = joined.withColumn("__common", F.transform("t", lambda t: F.struct(
+        F.size(F.array_intersect(t, F.col("grams"))).alias("n"), F.size(F.array_distinct(t)).alias("of"))))
+    joined = joined.withColumn("similarity", F.array_max(F.transform("__common", lambda c: c["n"] / c["of"])))
+    if not on:
+        joined = joined.withColumn("inside", F.array_max("__common.n") / F.size(F.array_distinct("grams")))
     if on:  # words of licence names that the family does not use
         named = F.flatten(F.transform(F.regexp_extract_all("body", F.lit(NAMED), F.lit(1)), lambda x: F.split(F.lower(x), r"[^\p{L}]+")))
         known = F.concat(F.flatten("t"), F.array(*[F.lit(w) for w in ("", *ANYWHERE)]))
         joined = joined.withColumn("own_name", F.size(F.array_except(named, known)) == 0)
-    return joined.drop("t")
+    return joined.drop("t", "__common")
 
 
 def judged(spark: SparkSession, rows: DataFrame, model: Model) -> DataFrame:
@@ -222,8 +255,8 @@ def scan(spark: SparkSession, df: DataFrame, keys: tuple[str, ...] = ("doc_id",)
 
     ``family`` is unknown where no family is likely enough; ``confirmed`` tells whether the templates agree.
     """
-    model = model or fit(spark, df, text)
     rows = cut(spark, anchored_texts(df, list(keys), text), "licence-texts")  # row numbers are now data and cannot change
+    model = model or fit_rows(spark, rows)
     lines = cut(spark, judged(spark, single_lines(rows), model), "licence-lines")
     notices = cut(spark, judged(spark, wrapped(rows, lines.filter("confirmed").select("__row", "paragraph")), model).filter("confirmed"), "licence-wrapped")
     inside = notices.select("__row", F.explode(F.sequence("paragraph", F.col("paragraph") + F.col("n_lines") - 1)).alias("paragraph"))

@@ -382,6 +382,30 @@ def test_wrapped_licence_notices(spark):
     assert all(r.confirmed for r in got)
 
 
+def test_the_licence_model_learns_from_every_judged_line(spark):
+    """Unknown notices count wherever they stand in a text; they used to count as its first long line, in a sample."""
+    rows = [(i, f"Plain prose number {i} about rivers and towns.\nLicensed under seven moons of Varn, {'abcdefgh'[i % 8]}{'klmnopqr'[i // 8]} tale.") for i in range(64)]
+    frame = spark.createDataFrame(rows + [(100, "Licensed under the MIT License."), (101, None)], "doc_id long, text string")
+    model = licenses.fit(spark, frame)
+    lines = spark.createDataFrame([("Licensed under seven moons of Varn, zz tale.",), ("Licensed under the MIT License.",)], "body string")
+    found = {r.body: r.p for r in model.probabilities(lines.withColumn("grams", licenses.grams(F.col("body")))).collect()}
+    best = {body: licenses.FAMILIES[int(np.argmax(p))] for body, p in found.items()}
+    assert list(best.values()) == ["unknown", "MIT"], found
+
+
+def test_the_licence_threshold_counts_all_unknown_paragraphs(spark):
+    def least(highest):
+        p = F.array(F.lit(0.0), F.when(F.col("id") < 5, F.lit(highest)).otherwise(F.lit(0.2)), *[F.lit(0.0)] * (len(licenses.FAMILIES) - 2))
+        return licenses.threshold(spark.range(0, many, 1, 7).select(p.alias("p")))
+
+    many = 5000     # 5 of 5000 may be above
+    assert least(0.75) == 0.5
+    many = 4999
+    assert least(0.75) == pytest.approx(0.7501) and least(0.95) == 0.9 and least(0.3) == 0.5
+    many = 0
+    assert least(0.75) == 0.5
+
+
 # --- 10 pseudo-likelihood -----------------------------------------------------
 
 def test_pseudo_likelihood(spark, docs, empty):
