@@ -145,6 +145,25 @@ def test_counts_of_all_lengths_come_from_the_flow(spark, monkeypatch):
         assert sum(r.f for r in found if r.size == 0 and r.lang == lang) == sum(f for (g, k, _), f in plain.items() if g == lang and k == 1)
 
 
+def test_grams_are_summed_and_shortened_as_bytes(monkeypatch):
+    """Blanks of any length, letters of several bytes, and gathering a few grams at a time."""
+    monkeypatch.setattr(collocations, "GATHERED", 3)
+    many, found = collocations.walk(["Ä b\t\tC  d e, \x00f", "", " .x y", "a B c d e"])
+    got = Counter((size, gram) for size, lines in found for gram in collocations._listed(lines))
+    assert many == 13 and got == Counter({(4, "Ä b c d".encode()): 1, (4, b"b c d e"): 2, (4, b"a b c d"): 1, (3, b"c d e"): 2, (2, b"d e"): 2, (1, b"e"): 2,
+                                          (1, b"\x00f"): 1, (2, b"x y"): 1, (1, b"y"): 1})
+    part = collocations._lines(np.frombuffer("Ä b c\na b c\nÄ b d\n".encode(), np.uint8))
+    assert collocations._listed(collocations._shorter(part, 3)) == ["Ä b".encode(), b"a b", "Ä b".encode()]
+    assert collocations._listed(collocations._shorter(part[1:], 3)) == [b"a b", "Ä b".encode()]
+    large = 2**53 + 1
+    lines, counts = collocations._summed([(part, np.array([1, large, 2])), (part[:1], np.array([4]))])
+    want = {"Ä b c".encode(): 5, b"a b c": large, "Ä b d".encode(): 2}
+    assert dict(zip(collocations._listed(lines), counts.tolist())) == want
+    rows = [(r[0], *collocations._unpacked({"grams": r[4], "counts": r[5]})) for r in collocations._packed("x", 3, (lines, counts), 2)]
+    back = {gram: (bucket, n) for bucket, some, counts in rows for gram, n in zip(collocations._listed(some), counts.tolist())}
+    assert back == {gram: (zlib.crc32(gram) % 2, n) for gram, n in want.items()}
+
+
 def test_large_counts_are_exact(spark):
     found = spark.createDataFrame([("x", 1, "a", 10**13 + 1), ("x", 1, "b", 10**13), ("x", 2, "a b", 9 * 10**12 + 7)], "lang string, size int, phrase string, f long")
     row = collocations.scored(found).first()
