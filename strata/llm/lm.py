@@ -65,7 +65,8 @@ def token_hashes(text: F.Column) -> F.Column:
 
 def word_counts(hashed: DataFrame) -> DataFrame:
     """(word, n): how often each distinct word occurs over all rows of ``hashed`` (column h)."""
-    return hashed.select(F.explode("h").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    each = hashed.select(F.explode_outer("h").alias("word")).filter("word IS NOT NULL")  # a plain explode would hash all words once more, to filter by
+    return each.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def side(distinct: int) -> int:
@@ -94,11 +95,15 @@ class Words:
     def read(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Token ids, costs in UNITS (0 for words with a token of their own), and which words are not mapped."""
         ids = self.lookup.ids(hashes)
-        if not len(self.mapped):
-            return ids, np.zeros(len(hashes), np.int64), np.ones(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.mapped, hashes), len(self.mapped) - 1)
-        hit = self.mapped[at] == hashes
-        return ids, np.where(hit, self.costs[at], 0), ~hit
+        costs, others = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        rare = np.nonzero(ids >= self.lookup.classes * (self.lookup.classes - 1))[0]  # words with a token of their own cost nothing more
+        others[rare] = True
+        if len(self.mapped):
+            wanted = hashes[rare]
+            at = np.minimum(np.searchsorted(self.mapped, wanted), len(self.mapped) - 1)
+            hit = self.mapped[at] == wanted
+            costs[rare[hit]], others[rare[hit]] = self.costs[at[hit]], False
+        return ids, costs, others
 
 
 def frequent_words(counts: DataFrame, classes: int) -> Words:
@@ -148,6 +153,21 @@ class Lookup:
         return np.where(self.known[found] == hashes, found, other)
 
 
+def highest(x: np.ndarray) -> np.ndarray:
+    """The largest value of each row as a column, by halves: numpy is slow at many short rows."""
+    while x.shape[1] > 1 and x.shape[1] % 2 == 0:
+        half = x.shape[1] // 2
+        x = np.maximum(x[:, :half], x[:, half:])
+    return x.max(axis=1, keepdims=True)
+
+
+def log_softmax_at(x: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """One column of each row's log-softmax; overwrites ``x``."""
+    x -= highest(x)
+    own = x[np.arange(len(x)), columns]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
 class Network:
     """Weights: one table per place (a further row for the text's edge), hidden bias, class outputs, outputs per class."""
 
@@ -191,7 +211,7 @@ class Network:
 
     @staticmethod
     def _log_softmax(x: np.ndarray) -> np.ndarray:
-        x -= x.max(axis=1, keepdims=True)
+        x -= highest(x)
         x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
         return x
 
@@ -201,14 +221,13 @@ class Network:
             own = ids[at:at + 65536]
             h = self.hidden(context[:, at:at + 65536])
             cls = own // self.classes_n
-            part = self._log_softmax(h @ self.classes + self.class_bias)[np.arange(len(own)), cls]
+            part = log_softmax_at(h @ self.classes + self.class_bias, cls)
             order = np.argsort(cls.astype(np.int16), kind="stable")
             ends = np.searchsorted(cls[order], np.arange(self.classes_n + 1))
             for c in range(self.classes_n):
                 rows = order[ends[c]:ends[c + 1]]
                 if len(rows):
-                    inner = self._log_softmax(h[rows] @ self.members[c] + self.member_bias[c])
-                    part[rows] += inner[np.arange(len(rows)), own[rows] % self.classes_n]
+                    part[rows] += log_softmax_at(h[rows] @ self.members[c] + self.member_bias[c], own[rows] % self.classes_n)
             out[at:at + 65536] = part
         return out
 

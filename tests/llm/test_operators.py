@@ -468,6 +468,24 @@ def test_scores_do_not_depend_on_the_layout(spark, monkeypatch, partitions):
     assert max(abs(a.log_likelihood - b.log_likelihood) for a, b in zip(base, other)) < 2e-4   # the last rounded digit
 
 
+def test_counting_words_hashes_them_once(spark):
+    frame = spark.createDataFrame([("a b a",), (None,), ("",), ("b c",)], "text string")
+    counts = lm.word_counts(frame.select(lm.token_hashes(F.col("text")).alias("h")))
+    assert sorted(r.n for r in counts.collect()) == [1, 2, 2]
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") == 1
+
+
+@pytest.mark.parametrize("width", [1, 5, 24, 32, 256])
+def test_softmax_of_one_column_equals_that_of_all(width):
+    x = np.random.default_rng(width).normal(0, 5, (3000, width)).astype(np.float32)
+    at = np.arange(3000) % width
+    plain = x - x.max(axis=1, keepdims=True)
+    plain -= np.log(np.exp(plain).sum(axis=1, keepdims=True))
+    assert (lm.highest(x)[:, 0] == x.max(axis=1)).all()
+    assert (lm.log_softmax_at(x.copy(), at) == plain[np.arange(3000), at]).all()    # to the last bit
+
+
 def test_the_network_grows_with_the_corpus():
     assert [lm.side(n) for n in (0, 10, 10**6, 2**24, 2**28, 2**40)] == [32, 32, 32, 64, 128, 256]
 
