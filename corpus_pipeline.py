@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a predicted label of 1 go; the model learns from labelled documents that are not held out."""
     grammar = toxicity_grammar(spark, docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
-    scored = toxicity.score(pack(docs, __text="text"), grammar, text="__text", keys=(ROW,))
+    scored = toxicity.score(pack(docs), grammar, keys=(ROW,), within=ROW)
     return unpack(scored.filter("predicted = 0"))
 
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from strata.llm.common import BLANKS, again, cut, words
+from strata.llm.common import BLANKS, again, batch_rows, cut, words
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -48,6 +48,8 @@ BANDS, ROWS = 24, 5
 M = BANDS * ROWS
 BLOCK = 1024
 COMPARED_WORDS = 2_000_000  # of texts that are indexed together
+SIGNED_TEXTS, SIGNED_WORDS = 256, 60_000  # signed together; signing holds some 200 bytes a word
+BATCH_ROWS = 1000  # of texts that go to a Python worker at once
 SLACK = 4.0
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64(2**40 - 1)
@@ -166,7 +168,7 @@ def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         at, texts = 0, _arrays(batch.column(2))
         while at < batch.num_rows:
             size, length = 0, 0
-            while at + size < batch.num_rows and size < 1024 and length < 600_000:
+            while at + size < batch.num_rows and size < SIGNED_TEXTS and length < SIGNED_WORDS:
                 length += len(texts[at + size])
                 size += 1
             bags = [shingles(h) for h in texts[at:at + size]]
@@ -289,7 +291,8 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
     schema = StructType([StructField("doc_id", df.schema[id_col].dataType), StructField("key", BinaryType()),
                          StructField("bands", ArrayType(LongType())), StructField("sketch", BinaryType())])
     signed = rows.mapInArrow(_signature_batches, schema).withColumn("row", F.monotonically_increasing_id())
-    signed = cut(spark, signed, "minhash-signatures")  # row numbers are now data and cannot change
+    with batch_rows(spark, BATCH_ROWS):
+        signed = cut(spark, signed, "minhash-signatures")  # row numbers are now data and cannot change
     distinct = signed.filter("bands is not null").groupBy("key").agg(F.first("bands").alias("bands"))
     banded = distinct.select("key", F.posexplode("bands").alias("band", "hash"))
     buckets = banded.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size"), F.min("key").alias("leader")).filter("size > 1")
@@ -303,7 +306,8 @@ def classes(spark: SparkSession, df: DataFrame, id_col: str = "doc_id", text_col
         return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary")
 
     stars = members.filter("key != leader").select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
-    roots = cut(spark, components(spark, confirmed(stars)), "minhash-roots")
+    with batch_rows(spark, BATCH_ROWS):
+        roots = cut(spark, components(spark, confirmed(stars)), "minhash-roots")
     # buckets with several classes: all members of other classes than the largest against all members, in blocks
     labelled = members.select("band", "hash", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "root", F.coalesce("root", "key"))

@@ -264,20 +264,28 @@ def fit(texts: DataFrame) -> Grammar:
     return Grammar(grammar.words, grammar.stems, tuple(float(v) for v in w))
 
 
-def score(df: DataFrame, grammar: Grammar, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The key columns, then score, predicted and the sums per kind, for every row."""
-    rows = df.select(*[F.col(f"`{k}`").alias(f"__{i}") for i, k in enumerate(keys)], F.col(f"`{text}`").alias("__text"))
+def score(df: DataFrame, grammar: Grammar, text: str = "text", keys: tuple[str, ...] = ("doc_id",), within: str | None = None) -> DataFrame:
+    """The key columns, then score, predicted and the sums per kind, for every row.
+
+    ``within`` names the key, a whole row in a struct, whose field ``text`` is read; the text is then sent to Python once.
+    """
+    rows = df.select(*[F.col(f"`{k}`").alias(f"__{i}") for i, k in enumerate(keys)], *([] if within else [F.col(f"`{text}`").alias("__text")]))
+    at = keys.index(within) if within else len(keys)
+    part = [f.lower() for f in df.schema[within].dataType.names].index(text.lower()) if within else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Machine(grammar)
-        for batch in batches:
-            found = [machine.sums(t.as_py()) for t in batch.column(len(keys))]
-            scores = [machine.score(f) for f in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(keys))]
-                + [pa.array(scores, pa.float64()), pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()),
-                   pa.array(found, pa.list_(pa.float64()))],
-                names=[f"__{i}" for i in range(len(keys))] + ["score", "predicted", "kind_sums"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 512):  # what goes back is held in the JVM a batch at a time
+                batch = whole.slice(start, 512)
+                texts = batch.column(at) if part is None else batch.column(at).field(part)
+                found = [machine.sums(t.as_py()) for t in texts]
+                scores = [machine.score(f) for f in found]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(i) for i in range(len(keys))]
+                    + [pa.array(scores, pa.float64()), pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()),
+                       pa.array(found, pa.list_(pa.float64()))],
+                    names=[f"__{i}" for i in range(len(keys))] + ["score", "predicted", "kind_sums"])
 
     schema = StructType([StructField(f"__{i}", df.schema[k].dataType) for i, k in enumerate(keys)] + [
         StructField("score", DoubleType()), StructField("predicted", IntegerType()), StructField("kind_sums", ArrayType(DoubleType()))])

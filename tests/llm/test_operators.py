@@ -3,14 +3,16 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import bpe, covertree, html, licenses, lm, minhash, mixing, quality, quotes, toxicity
-from strata.llm.common import cut, pack
+from strata.llm.common import batch_rows, cut, pack
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -153,6 +155,9 @@ def test_toxicity_learns_stems_and_scores(spark, docs, empty):
     by = {r.doc_id: r for r in got.collect()}
     assert by[1].predicted == 1 and by[2].predicted == 0 and by[3].score == by[2].score
     assert toxicity.score(pack(docs, __text="text"), grammar, text="__text", keys=("__row",)).count() == len(ROWS)
+    apart = toxicity.score(pack(docs, __text="text"), grammar, text="__text", keys=("__row",)).collect()
+    within = toxicity.score(pack(docs), grammar, keys=("__row",), within="__row").collect()
+    assert sorted(map(repr, within)) == sorted(map(repr, apart)) and len(within) == len(ROWS)
     assert toxicity.score(empty, grammar).count() == 0
     assert toxicity.fit(spark.createDataFrame([], "text string, toxic int")).weights == tuple(toxicity.START_WEIGHTS)
 
@@ -177,6 +182,43 @@ def test_signatures_estimate_weighted_jaccard():
     assert abs(np.mean(error)) < 0.015
 
 
+def test_signing_takes_memory_by_groups_of_texts():
+    rng = np.random.default_rng(72)
+    words = [rng.integers(-2**62, 2**62, int(n)) for n in [*rng.integers(0, 800, 1500), 90_000]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(words))), pa.array([b"k"] * len(words)), pa.array(words, pa.list_(pa.int64()))],
+                                       names=["doc_id", "key", "text"])
+    tracemalloc.start()
+    try:
+        sketches, most = [], 0
+        for out in minhash._signature_batches(iter([batch])):
+            sketches += out.column(3).to_pylist()
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 40e6  # groups of 600,000 words took 95 MB
+    alone = minhash.signatures([minhash.shingles(w) for w in words])  # groups change nothing
+    assert sketches == [(minhash._mix(n ^ minhash.GOLD) & np.uint64(255)).astype(np.uint8).tobytes() if len(w) else None
+                        for n, w in zip(alone, words, strict=True)]
+
+
+def test_batches_to_python_hold_few_rows(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    rows = spark.range(0, 250, 1, 1).mapInArrow(sizes, "n long")
+    with pytest.raises(ValueError):
+        with batch_rows(spark, 100):
+            assert [r.n for r in rows.collect()] == [100, 100, 50]
+            with batch_rows(spark, 200):  # never more than was set
+                assert max(r.n for r in spark.range(0, 250, 1, 1).mapInArrow(sizes, "n long").collect()) == 100
+            raise ValueError
+    assert spark.conf.get(setting) == before
+
+
 def test_classes_equal_brute_force(spark, docs, empty):
     rng = np.random.default_rng(70)
     vocabulary = [f"w{k}" for k in range(300)]
